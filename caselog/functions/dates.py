@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,9 +37,16 @@ NO_DATE = "0000-00-00"
 ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}){1,2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
+def _shape(fmt: str) -> str:
+    """Pattern of texts worth parsing with the format; a failed parse costs far more than a match."""
+    pieces = {"yyyy": r"\d{4}", "'T'": "T", "a": "[AaPp][Mm]"} | {c: r"\d{1,2}" for c in "MdHhms"}
+    tokens = re.findall(r"yyyy|'T'|[a-zA-Z]|.", fmt)
+    return "^" + "".join(pieces.get(t, re.escape(t)) for t in tokens) + "$"
+
+
 def parse_first(text: Column, formats: list[str]) -> Column:
     """First format that reads the whole text; null when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f))) for f in formats])
 
 
 def timeline_ts(text: Column) -> Column:

@@ -11,11 +11,14 @@ import json
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STRICT = {"allowSingleQuotes": "false"}
+# Text of any other shape cannot be such JSON. Asking first is cheaper than a failed read.
+OBJECT_SHAPE = r"(?s)^\s*\{.*\}\s*$"
+OTHER_SHAPE = r"^\s*[\[\"\-0-9tfnNI]"
 CONTROL = r"[\x00-\x1f\x7f]"
 FENCE = r"(?is)```(?:json)?\s*(.*?)\s*```"
 
@@ -37,22 +40,52 @@ def _in_list(text: Column) -> Column:
     return F.concat(F.lit("["), text, F.lit("]"))
 
 
-def object_map(text: Column) -> Column:
-    """map<string,string> of text that is exactly one JSON object, else null."""
-    items = F.from_json(_in_list(text), "array<map<string,string>>", STRICT)
-    return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
+def _last_wins(entries: Column) -> Column:
+    """The map without earlier copies of a repeated key."""
+    pairs = F.map_entries(entries)
+    keys = F.map_keys(entries)
+    kept = F.filter(pairs, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.when(repeated, F.map_from_entries(kept)).otherwise(entries)
 
 
-def kind_map(text: Column) -> Column:
-    """JSON type of each key of an object: STRING, BIGINT, BOOLEAN, VOID, ARRAY..., OBJECT..."""
-    items = F.from_json(_in_list(text), "array<map<string,variant>>", STRICT)
-    return F.transform_values(F.get(items, F.lit(0)), lambda _, v: F.schema_of_variant(v))
+def _read_once(df: DataFrame, text: str, kind: str, name: str) -> DataFrame:
+    """Column `name`: the one object that `text` is. Each step is its own projection, so the costly
+    read happens once per row however often its result is used."""
+    items, first = f"_{name}_items", f"_{name}_first"
+    likely = F.when(F.col(text).rlike(OBJECT_SHAPE), F.col(text))
+    read = df.withColumn(items, F.from_json(_in_list(likely), f"array<map<string,{kind}>>", STRICT))
+    read = read.withColumn(first, F.when(F.size(items) == 1, F.get(items, F.lit(0))))
+    return read.withColumn(name, _last_wins(F.col(first))).drop(items, first)
+
+
+def with_object(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds map<string,string> of text that is exactly one JSON object, else null."""
+    return _read_once(df, text, "string", name)
+
+
+def with_kinds(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the JSON type per key of an object: STRING, BIGINT, BOOLEAN, VOID, ARRAY..., OBJECT..."""
+    read = _read_once(df, text, "variant", f"_{name}_variants")
+    kinds = F.transform_values(f"_{name}_variants", lambda _, v: F.schema_of_variant(v))
+    return pinned(read.drop(name), **{name: kinds}).drop(f"_{name}_variants")
+
+
+def pinned(df: DataFrame, **values: Column) -> DataFrame:
+    """Adds computed columns that later steps read instead of recomputing.
+
+    Spark folds filters, and the inputs of chained Python functions, into the expressions below
+    them, repeating every step in between. A one-element generator keeps the two apart.
+    """
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    kept = [F.col(c) for c in df.columns if c not in values]
+    return df.select(*kept, F.explode(F.array(row)).alias("_pin")).select(*kept, "_pin.*")
 
 
 def is_other_json(text: Column) -> Column:
     """Valid JSON that is not an object: a list, a text, a number, true, false or null."""
     items = F.from_json(_in_list(text), "array<string>", STRICT)
-    return F.coalesce(~text.rlike(r"^\s*\{") & (F.size(items) == 1), F.lit(False))
+    return F.coalesce(F.when(text.rlike(OTHER_SHAPE), F.size(items) == 1), F.lit(False))
 
 
 @F.pandas_udf(T.StringType())

@@ -20,9 +20,14 @@ UNPARSED_TEXT = "no se pudo parsear salida LLM"
 NO_PROMPT_TEXT = "prompt no encontrado"
 
 
-def basic_candidate(raw: Column) -> Column:
-    """Compatibility form, no control characters, content of the first fence."""
-    return tx.strip_blank(js.unfence(F.trim(js.drop_control(js.nfkc(raw)))))
+def with_basic_candidate(df: DataFrame, raw: str, name: str) -> DataFrame:
+    """Adds the text to read: compatibility form, no control characters, content of the first fence.
+
+    One projection per step, as each step uses the one before several times.
+    """
+    step = df.withColumn("_form", js.nfkc(F.col(raw)))
+    step = step.withColumn("_bare", F.trim(js.drop_control(F.col("_form"))))
+    return step.withColumn(name, tx.strip_blank(js.unfence(F.col("_bare")))).drop("_form", "_bare")
 
 
 def parse_basic(responses: DataFrame) -> DataFrame:
@@ -31,39 +36,32 @@ def parse_basic(responses: DataFrame) -> DataFrame:
     Tier 1 is the whole text, tier 2 the span between the outer braces. Text that is JSON but not
     an object stops at once, as reading a list or a number never leads to the second tier.
     """
-    df = responses.withColumn("_text", basic_candidate(F.col("raw")))
-    df = df.withColumn("_whole", js.object_map(F.col("_text")))
+    df = js.with_object(with_basic_candidate(responses, "raw", "_text"), "_text", "_whole")
     retry = F.col("_whole").isNull() & ~js.is_other_json(F.col("_text"))
     df = df.withColumn("_span", F.when(retry, js.braces(F.col("_text"))))
-    df = df.withColumn("_inner", js.object_map(F.col("_span")))
+    df = js.with_object(df, "_span", "_inner")
     tier = F.when(F.col("_whole").isNotNull(), 1).when(F.col("_inner").isNotNull(), 2).otherwise(0)
-    return df.withColumns(
-        {
-            "answer": F.coalesce("_whole", "_inner"),
-            "parse_tier": tier,
-            "parsed_text": F.when(F.col("_whole").isNotNull(), F.col("_text")).when(
-                F.col("_inner").isNotNull(), F.col("_span")
-            ),
-        }
-    ).drop("_text", "_whole", "_span", "_inner")
+    text = F.when(F.col("_whole").isNotNull(), F.col("_text")).when(F.col("_inner").isNotNull(), F.col("_span"))
+    found = js.pinned(df, answer=F.coalesce("_whole", "_inner"), parse_tier=tier, parsed_text=text)
+    return found.drop("_text", "_whole", "_span", "_inner")
 
 
-def robust_candidate(raw: Column) -> Column:
-    """Brace span of the cleaned text, or the raw text; plain quotes, no dangling commas."""
-    span = js.braces(basic_candidate(raw))
-    fixed = js.drop_trailing_commas(js.plain_quotes(F.coalesce(span, raw)))
-    return tx.strip_blank(js.drop_control(fixed))
+def with_robust_candidate(df: DataFrame, raw: str, name: str) -> DataFrame:
+    """Adds the brace span of the cleaned text, or the raw text; plain quotes, no dangling commas."""
+    step = with_basic_candidate(df, raw, "_basic").withColumn("_span", js.braces(F.col("_basic")))
+    fixed = js.drop_trailing_commas(js.plain_quotes(F.coalesce(F.col("_span"), F.col(raw))))
+    return step.withColumn(name, tx.strip_blank(js.drop_control(fixed))).drop("_basic", "_span")
 
 
 def parse_robust(responses: DataFrame) -> DataFrame:
     """Raw text first, then the repaired span, then a Python literal; only leftovers go on."""
-    df = responses.withColumn("_one", js.object_map(F.col("raw")))
+    df = js.with_object(responses, "raw", "_one")
     open_ = F.col("_one").isNull() & ~js.is_other_json(F.col("raw"))
-    df = df.withColumn("_cand", robust_candidate(F.when(open_, F.col("raw"))))
-    df = df.withColumn("_two", js.object_map(F.col("_cand")))
-    left = F.col("_two").isNull() & ~js.is_other_json(F.col("_cand"))
-    df = df.withColumn("_lit", js.literal_json(F.when(left, F.col("_cand"))))
-    df = df.withColumn("_three", js.object_map(F.col("_lit")))
+    df = df.withColumn("_rest", F.when(open_, F.col("raw")))
+    df = js.with_object(with_robust_candidate(df, "_rest", "_cand"), "_cand", "_two")
+    left = F.col("_two").isNull() & ~js.is_other_json(F.col("_cand")) & F.col("_cand").rlike(js.OBJECT_SHAPE)
+    df = js.pinned(df, _left=F.when(left, F.col("_cand")))
+    df = js.with_object(df.withColumn("_lit", js.literal_json(F.col("_left"))), "_lit", "_three")
     tier = (
         F.when(F.col("_one").isNotNull(), 1)
         .when(F.col("_two").isNotNull(), 2)
@@ -75,9 +73,8 @@ def parse_robust(responses: DataFrame) -> DataFrame:
         .when(F.col("_two").isNotNull(), F.col("_cand"))
         .when(F.col("_three").isNotNull(), F.col("_lit"))
     )
-    return df.withColumns(
-        {"answer": F.coalesce("_one", "_two", "_three"), "parse_tier": tier, "parsed_text": text}
-    ).drop("_one", "_cand", "_two", "_lit", "_three")
+    found = js.pinned(df, answer=F.coalesce("_one", "_two", "_three"), parse_tier=tier, parsed_text=text)
+    return found.drop("_one", "_rest", "_cand", "_two", "_left", "_lit", "_three")
 
 
 def _value(key: str) -> Column:
@@ -113,7 +110,7 @@ def _text_or_fail(key: str) -> Column:
 
 def validate(parsed: DataFrame) -> DataFrame:
     """Adds the normalized fields, `core_valid`, `valid` and `reject_reason` per attempt."""
-    df = parsed.withColumn("_kinds", js.kind_map(F.col("parsed_text")))
+    df = js.with_kinds(parsed, "parsed_text", "_kinds")
     has = lambda key: F.coalesce(F.map_contains_key("answer", F.lit(key)), F.lit(False))
     label = F.when(_kind("clasificacion") == "STRING", tx.strip_blank(_value("clasificacion")))
     explanation = (
@@ -155,22 +152,25 @@ def validate(parsed: DataFrame) -> DataFrame:
         .when(missing_kind == "BOOLEAN", F.array(F.initcap(missing)))
         .otherwise(F.array(missing))
     )
-    df = df.withColumn("_core_reason", reason)
-    return df.withColumns(
+    late = F.when(F.coalesce(_text_or_fail("explicacion_calidad"), F.lit(False)), "explicacion_calidad")
+    checked = js.pinned(
+        df,
+        clasificacion=label,
+        explicacion=tx.strip_blank(explanation),
+        confianza=nb.clamp(confidence, 0.0, 1.0),
+        calidad_comunicativa_score=nb.score_0_100(quality),
+        explicacion_calidad=quality_text,
+        elementos_faltantes=missing_list,
+        _core=reason,
+        _late=late,
+    )
+    return checked.withColumns(
         {
-            "clasificacion": label,
-            "explicacion": tx.strip_blank(explanation),
-            "confianza": nb.clamp(confidence, 0.0, 1.0),
-            "calidad_comunicativa_score": nb.score_0_100(quality),
-            "explicacion_calidad": quality_text,
-            "elementos_faltantes": missing_list,
-            "core_valid": F.col("_core_reason").isNull(),
-            "reject_reason": F.coalesce(
-                "_core_reason",
-                F.when(F.coalesce(_text_or_fail("explicacion_calidad"), F.lit(False)), "explicacion_calidad"),
-            ),
+            "core_valid": F.col("_core").isNull(),
+            "reject_reason": F.coalesce("_core", "_late"),
+            "valid": F.col("_core").isNull() & F.col("_late").isNull(),
         }
-    ).withColumn("valid", F.col("reject_reason").isNull()).drop("_kinds", "_core_reason")
+    ).drop("_kinds", "_core", "_late")
 
 
 CORE = ["clasificacion", "explicacion", "confianza", "calidad_comunicativa_score"]

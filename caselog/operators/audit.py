@@ -65,9 +65,9 @@ def mean_score(parts: list[Column]) -> Column:
 
 def sanitize(parsed: DataFrame) -> DataFrame:
     """Complete audit record per answer; keys outside the record stay in the map `extras`."""
-    df = parsed.withColumn("_kinds", js.kind_map(F.col("parsed_text")))
+    df = js.with_kinds(parsed, "parsed_text", "_kinds")
     scores = {f"{p}_score_0a100": _score(f"{p}_score_0a100") for p in SCORE_PARTS}
-    df = df.withColumns(scores)
+    df = js.pinned(df, **scores)
     final = _value("score_final_0a100")
     falsy = (
         final.isNull()
@@ -76,19 +76,17 @@ def sanitize(parsed: DataFrame) -> DataFrame:
     )
     confidence = F.lower(_text("confianza", "baja"))
     known = AUDIT_FLAT.fieldNames()
-    return df.withColumns(
-        {
-            "resumen_general": _text("resumen_general", DEFAULT_SUMMARY),
-            **{f"{p}_justificacion": _text(f"{p}_justificacion", DEFAULT_JUSTIFICATION) for p in SCORE_PARTS},
-            "score_final_0a100": F.when(falsy, mean_score([F.col(c) for c in scores])).otherwise(
-                _score("score_final_0a100")
-            ),
-            "evidencias": _list("evidencias", [], MAX_EVIDENCE),
-            "observaciones": _list("observaciones", [DEFAULT_REMARK], MAX_REMARKS),
-            "confianza": F.when(confidence.isin(CONFIDENCE), confidence).otherwise(F.lit("baja")),
-            "extras": F.map_filter("answer", lambda k, _: ~k.isin(known)),
-        }
-    ).drop("_kinds")
+    clean = js.pinned(
+        df,
+        resumen_general=_text("resumen_general", DEFAULT_SUMMARY),
+        **{f"{p}_justificacion": _text(f"{p}_justificacion", DEFAULT_JUSTIFICATION) for p in SCORE_PARTS},
+        score_final_0a100=F.when(falsy, mean_score([F.col(c) for c in scores])).otherwise(_score("score_final_0a100")),
+        evidencias=_list("evidencias", [], MAX_EVIDENCE),
+        observaciones=_list("observaciones", [DEFAULT_REMARK], MAX_REMARKS),
+        confianza=F.when(confidence.isin(CONFIDENCE), confidence).otherwise(F.lit("baja")),
+        extras=F.map_filter("answer", lambda k, _: ~k.isin(known)),
+    )
+    return clean.drop("_kinds")
 
 
 def _default_columns(overrides: dict[str, Column]) -> list[Column]:
@@ -145,24 +143,27 @@ def merge_answers(base: Column, layers: list[Column], protected: list[str] = ())
         added = F.coalesce(layer, F.create_map().cast("map<string,string>"))
         if protected:
             added = F.map_filter(added, lambda k, _: ~k.isin(list(protected)))
-        kept = F.map_filter(merged, lambda k, _, a=added: ~F.map_contains_key(a, k))
-        merged = F.map_concat(kept, added)
+        merged = F.map_concat(_without(merged, added), added)
     return merged
 
 
-def as_layer(text: Column) -> Column:
-    """Any answer as a mergeable map: object keys, list positions, or the text under llm_raw."""
-    items = F.from_json(text, "array<string>")
-    listed = F.map_from_arrays(
-        F.transform(F.sequence(F.lit(0), F.size(items) - 1), lambda i: i.cast("string")), items
-    )
+def _without(entries: Column, others: Column) -> Column:
+    return F.map_filter(entries, lambda k, _: ~F.map_contains_key(others, k))
+
+
+def with_layer(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds any answer as a mergeable map: object keys, list positions, or the text as llm_raw."""
+    read = js.with_object(df, text, "_object").withColumn("_items", F.from_json(F.col(text), "array<string>"))
+    raw, items = F.col(text), F.col("_items")
+    positions = F.transform(F.sequence(F.lit(0), F.size(items) - 1), lambda i: i.cast("string"))
     empty = F.create_map().cast("map<string,string>")
-    return (
-        F.when(text.isNull(), empty)
-        .when(text.rlike(r"^\s*\[") & (F.size(items) == 0), empty)
-        .when(text.rlike(r"^\s*\[") & (F.size(items) > 0), listed)
-        .otherwise(F.coalesce(js.object_map(text), F.create_map(F.lit("llm_raw"), text)))
+    is_list = raw.rlike(r"^\s*\[") & (F.size(items) >= 0)
+    layer = (
+        F.when(raw.isNull() | (is_list & (F.size(items) == 0)), empty)
+        .when(is_list, F.map_from_arrays(positions, items))
+        .otherwise(F.coalesce(F.col("_object"), F.create_map(F.lit("llm_raw"), raw)))
     )
+    return read.withColumn(name, layer).drop("_object", "_items")
 
 
 def typed_answer(text: Column, schema: T.StructType) -> Column:

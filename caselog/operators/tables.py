@@ -202,9 +202,9 @@ def apply_types(df: DataFrame, types: DataFrame) -> DataFrame:
     """Typed columns under their clean names. The type table has one row per column."""
     found = {r["posicion"]: (r["columna"], r["tipo"]) for r in types.collect()}
     columns = []
-    for i, source in enumerate(df.columns):
+    for i in range(len(df.columns)):
         name, kind = found[i]
-        raw = F.col(f"`{source}`").cast("string")
+        raw = F.col(name).cast("string")
         value = F.nullif(tx.strip_blank(raw), F.lit(""))
         digits = F.replace(value, F.lit("_"), F.lit(""))
         typed = {
@@ -219,7 +219,7 @@ def apply_types(df: DataFrame, types: DataFrame) -> DataFrame:
             ),
         }.get(kind, raw)
         columns.append(typed.alias(name))
-    return df.select(*columns)
+    return df.toDF(*[found[i][0] for i in range(len(df.columns))]).select(*columns)
 
 
 def last_arrivals(source: DataFrame, key: list[str], arrival: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caselog.plans.registry import table
+from caselog.plans.registry import spread, table
 
 SPARK_TIME = {
     "clock": "date_format(ts, 'yyyy/MM/dd  hh:mm:ss a')",
@@ -133,7 +133,7 @@ RESPONSES_SQL = (
 
 def responses(spark: SparkSession, folder: str) -> DataFrame:
     keyed = table(spark, folder, "events").selectExpr(*[f"{e} AS {n}" for n, e in RESPONSE_KEYS.items()])
-    shaped = keyed.selectExpr("*", f"{RESPONSE_SHAPE} AS shape", f"{_CLASS} AS cls")
+    shaped = spread(keyed).selectExpr("*", f"{RESPONSE_SHAPE} AS shape", f"{_CLASS} AS cls")
     return shaped.selectExpr(
         "'r' || CAST(rid AS STRING) AS request_id", "'NOTA' AS step", "attempt", f"{_RAW} AS raw"
     )
@@ -174,4 +174,4 @@ AUDITS_SQL = f"SELECT *, {_AUDIT_RAW} AS raw FROM ({_select(AUDIT_NUMBERS, 'line
 
 def audit_answers(spark: SparkSession, folder: str) -> DataFrame:
     numbers = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in AUDIT_NUMBERS.items()])
-    return numbers.withColumn("raw", F.expr(_AUDIT_RAW))
+    return spread(numbers).withColumn("raw", F.expr(_AUDIT_RAW))
