@@ -168,3 +168,16 @@ def linked_timelines(
     return parts.withColumn("total", total).join(chosen, key).select(
         *key, "notas", "total", "parte", "texto"
     )
+
+
+def split_pieces(cases: DataFrame, keys: list[str], joined: str) -> DataFrame:
+    """Pieces of a bar-separated timeline: pos, fecha (or desconocida), texto and dia.
+
+    Splitting reads one row at a time; order by `dia` where a consumer needs the pieces in order.
+    """
+    pieces = cases.select(*keys, F.posexplode(F.split(joined, r"\|")).alias("pos", "_piece"))
+    pieces = pieces.select(*keys, "pos", tx.strip_blank(F.col("_piece")).alias("texto")).where("texto <> ''")
+    found = F.nullif(F.regexp_extract("texto", r"^\d{4}-\d{2}-\d{2}", 0), F.lit(""))
+    return pieces.withColumns(
+        {"fecha": F.coalesce(found, F.lit("desconocida")), "dia": found.try_cast("date")}
+    )
