@@ -79,7 +79,8 @@ def pinned(df: DataFrame, **values: Column) -> DataFrame:
     """
     row = F.struct(*[value.alias(name) for name, value in values.items()])
     kept = [F.col(c) for c in df.columns if c not in values]
-    return df.select(*kept, F.explode(F.array(row)).alias("_pin")).select(*kept, "_pin.*")
+    computed = df.select(*kept, row.alias("_row"))
+    return computed.select(*kept, F.explode(F.array("_row")).alias("_pin")).select(*kept, "_pin.*")
 
 
 def is_other_json(text: Column) -> Column:

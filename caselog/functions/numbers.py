@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from caselog.functions.text import let
+
 NUMBER = r"(?i)^\s*[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(inf|infinity|nan)\s*$"
 
 
@@ -15,7 +17,8 @@ def to_double(text: Column) -> Column:
 
 
 def clamp(value: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), value))
+    """Null stays null, which greatest and least alone would not grant."""
+    return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
 
 
 def half_even(value: Column) -> Column:
@@ -24,10 +27,12 @@ def half_even(value: Column) -> Column:
 
 def score_0_100(text: Column) -> Column:
     """Half-even whole number in 0..100; unreadable, infinite or NaN gives 0."""
-    number = to_double(text)
-    usable = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
-    bounded = clamp(number, -1.0, 101.0)
-    return F.when(usable, clamp(half_even(bounded), 0.0, 100.0).cast("int")).otherwise(F.lit(0))
+
+    def bounded(number: Column) -> Column:
+        usable = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
+        return F.when(usable, clamp(half_even(clamp(number, -1.0, 101.0)), 0.0, 100.0).cast("int"))
+
+    return F.coalesce(let(to_double(text), bounded), F.lit(0))
 
 
 def weighted(parts: list[tuple[Column, int]]) -> Column:

@@ -4,16 +4,28 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # White space as text tools count it: Unicode spaces (NBSP too) plus the four separators.
 BLANK = r"[\s\x1c-\x1f]"
+# The same characters one by one.
+BLANK_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_blank(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANK_CHARACTERS))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once per row, however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def squeeze(text: Column) -> Column:

@@ -139,11 +139,12 @@ def complaint_risk(
 
 def classify(text: Column, rules: dict[str, list[str]] = lx.CLASS_RULES) -> Column:
     """First class, in order of priority, one of whose indicators occurs."""
-    folded = tx.fold(text)
-    result = None
-    for name, phrases in rules.items():
-        result = (F if result is None else result).when(tx.has_any(folded, phrases), F.lit(name))
-    return result.otherwise(F.lit(LAST_CLASS))
+
+    def first_hit(folded: Column) -> Column:
+        hits = [F.when(tx.has_any(folded, phrases), F.lit(name)) for name, phrases in rules.items()]
+        return F.coalesce(*hits, F.lit(LAST_CLASS))
+
+    return tx.let(tx.fold(text), first_hit)
 
 
 def parts_rule(label: Column, score: Column, text: Column) -> Column:

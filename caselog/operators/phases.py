@@ -12,11 +12,12 @@ from caselog.operators import skew
 
 def phase_number(text: Column, phases: dict[str, list[str]] = lx.PHASES) -> Column:
     """Position of the first phase named in the text, null when none is."""
-    folded = tx.fold(text)
-    result = None
-    for number, words in enumerate(phases.values(), start=1):
-        result = (F if result is None else result).when(tx.has_any(folded, words), F.lit(number))
-    return result
+
+    def first_hit(folded: Column) -> Column:
+        numbered = enumerate(phases.values(), start=1)
+        return F.coalesce(*[F.when(tx.has_any(folded, words), F.lit(n)) for n, words in numbered])
+
+    return tx.let(tx.fold(text), first_hit)
 
 
 def phase_sequence(

@@ -327,3 +327,18 @@ def empty_case_records(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join("observaciones", " | ").alias("observaciones"),
         "confianza",
     )
+
+
+@query(
+    "unified_cases_in_parts",
+    f"WITH {sb.CASES_CTE} SELECT numero_siniestro, placa, nit_taller, total_eventos, eventos_no_vacios, observaciones_unidas FROM cases",
+)
+def unified_cases_in_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every case treated as giant: its parts, joined in order, are the whole timeline."""
+    parts = tl.unify_cases(notes(spark, folder), "ord", part_rows=16).where(
+        "observaciones_unidas <> '' OR eventos_no_vacios = 0"
+    )
+    case = ["numero_siniestro", "placa", "nit_taller", "total_eventos", "eventos_no_vacios"]
+    ordered = F.sort_array(F.collect_list(F.struct("parte", "observaciones_unidas")))
+    joined = F.array_join(F.transform(ordered, lambda p: p["observaciones_unidas"]), tl.SEPARATOR)
+    return parts.groupBy(*case).agg(joined.alias("observaciones_unidas"))

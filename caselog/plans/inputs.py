@@ -83,7 +83,7 @@ NOTES_SQL = _select(_note_columns(DUCK_TIME), "events")
 
 def notes(spark: SparkSession, folder: str) -> DataFrame:
     columns = _note_columns(SPARK_TIME)
-    return table(spark, folder, "events").selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
+    return spread(table(spark, folder, "events")).selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
 
 
 # Shapes of a note answer, by position: how a model may wrap, break or misfill its JSON.
