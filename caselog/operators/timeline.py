@@ -161,15 +161,27 @@ def linked_timelines(
     members = pieces.select("fecha", ordinal, "evento", F.explode("_all").alias("_k"))
     members = members.select("_k.*", "fecha", ordinal, "evento").where(F.col("clave").isNotNull())
     key = ["tipo", "clave"]
-    heavy = skew.heavy_keys(members, key, part_rows)
-    wanted = skew.lookup(members, chosen.select(*key), key, "left_semi", heavy=heavy)
-    parts = timeline_parts(wanted, key, ["fecha", ordinal], part_rows=part_rows, heavy=heavy)
+    parts = timeline_parts(_worth_gathering(members, chosen, key), key, ["fecha", ordinal], part_rows=part_rows)
     total = F.sum("eventos").over(Window.partitionBy(*key))
     return parts.withColumn("total", total).join(chosen, key).select(
         *key, "notas", "total", "parte", "texto"
     )
 
 
+def _worth_gathering(members: DataFrame, chosen: DataFrame, key: list[str]) -> DataFrame:
+    """Drops members of second-choice keys nobody chose, when the chosen ones are few.
+
+    An aviso is always chosen by its own notes. Where many other keys were chosen, everything is
+    gathered and the join with `chosen` drops the rest.
+    """
+    second = F.col("tipo").isin("siniestro", "placa")
+    few = chosen.where(second).select(*key).limit(skew.HEAVY_LIST_MAX + 1).collect()
+    if len(few) > skew.HEAVY_LIST_MAX:
+        return members
+    listed = members.sparkSession.createDataFrame(few, chosen.select(*key).schema).withColumn("_listed", F.lit(True))
+    return members.join(F.broadcast(listed), key, "left").where(~second | F.col("_listed")).drop("_listed")
+
+
 def split_pieces(cases: DataFrame, keys: list[str], joined: str) -> DataFrame:
     """Pieces of a bar-separated timeline: pos, fecha (or desconocida), texto and dia.
 

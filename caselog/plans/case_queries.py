@@ -307,15 +307,19 @@ def prompt_selection(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("aviso", F.when(F.col("system").isNull(), F.lit("prompt no encontrado")))
 
 
+_BLANKED = "CASE WHEN caso % 3 = 0 THEN ' ' ELSE observacion END"
+
+
 @query(
     "empty_case_records",
-    f"WITH n0 AS ({NOTES_SQL}), {sb.CASES_CTE.replace(f'notes AS ({NOTES_SQL})', 'notes AS (SELECT * FROM n0 WHERE ord % 16 IN (6))')} "
-    "SELECT numero_aviso, numero_siniestro, placa, CAST(0 AS BIGINT) AS total_eventos, 'sin datos' AS resumen_general, "
+    f"WITH n0 AS ({NOTES_SQL}), "
+    + sb.CASES_CTE.replace(f"notes AS ({NOTES_SQL})", f"notes AS (SELECT * REPLACE ({_BLANKED} AS observacion) FROM n0)")
+    + " SELECT numero_aviso, numero_siniestro, placa, CAST(0 AS BIGINT) AS total_eventos, 'sin datos' AS resumen_general, "
     "0 AS score_final_0a100, 'Nota/Supuesto: no se encontraron observaciones para evaluar.' AS observaciones, 'baja' AS confianza "
     "FROM cases WHERE observaciones_unidas = ''",
 )
 def empty_case_records(spark: SparkSession, folder: str) -> DataFrame:
-    blank = notes(spark, folder).where("ord % 16 IN (6)")
+    blank = notes(spark, folder).withColumn("observacion", F.expr(_BLANKED))
     records_ = au.empty_case_records(tl.unify_cases(blank, "ord"))
     return records_.select(
         "numero_aviso",

@@ -131,29 +131,32 @@ def typed_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _upsert_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Target: every order, and a mirror under negative numbers that no source row touches.
+    Source: every order, a quarter of them under new numbers, some sent twice."""
     orders = table(spark, folder, "orders")
-    shape = "{key} AS numero_aviso, o_custkey AS numero_siniestro, o_orderdate AS fecha_observacion, o_orderstatus AS usuario, {text} AS observacion, {n} AS precio"
-    target = orders.where("o_orderkey % 3 <> 0").selectExpr(
-        *shape.format(key="o_orderkey", text="o_orderpriority", n="o_totalprice").split(", ")
+    rest = ["o_custkey AS numero_siniestro", "o_orderdate AS fecha_observacion", "o_orderstatus AS usuario"]
+    number = F.explode(F.array("o_orderkey", -F.col("o_orderkey") - 1))
+    target = orders.withColumn("numero_aviso", number).selectExpr(
+        "numero_aviso", *rest, "o_orderpriority AS observacion", "o_totalprice AS precio"
     )
-    twice = orders.where("o_orderkey % 4 = 0").withColumn("copia", F.explode(F.sequence(F.lit(0), F.expr("CAST(o_orderkey % 8 / 4 AS INT)"))))
-    source = twice.selectExpr(
-        *shape.format(key="o_orderkey", text="'nuevo ' || CAST(copia AS STRING)", n="o_totalprice + copia").split(", "), "copia"
+    copies = F.explode(F.sequence(F.lit(0), F.expr("CASE WHEN o_orderkey % 8 IN (4, 5) THEN 1 ELSE 0 END")))
+    source = orders.withColumn("copia", copies).selectExpr(
+        "CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END AS numero_aviso",
+        *rest,
+        "'nuevo ' || CAST(copia AS STRING) AS observacion",
+        "o_totalprice + copia AS precio",
+        "copia",
     )
     return target, source
 
 
 _UPSERT_CTE = (
-    "t AS (SELECT o_orderkey AS numero_aviso, o_custkey AS numero_siniestro, o_orderdate AS fecha_observacion, o_orderstatus AS usuario, "
-    "o_orderpriority AS observacion, o_totalprice AS precio FROM orders WHERE o_orderkey % 3 <> 0), "
-    "s AS (SELECT o_orderkey AS numero_aviso, o_custkey AS numero_siniestro, o_orderdate AS fecha_observacion, o_orderstatus AS usuario, "
-    "'nuevo ' || CAST(CASE WHEN o_orderkey % 8 = 4 THEN 1 ELSE 0 END AS VARCHAR) AS observacion, o_totalprice + CASE WHEN o_orderkey % 8 = 4 THEN 1 ELSE 0 END AS precio, "
-    "CAST(CASE WHEN o_orderkey % 8 = 4 THEN 2 ELSE 1 END AS BIGINT) AS copias FROM orders WHERE o_orderkey % 4 = 0), "
-    "m AS (SELECT coalesce(s.numero_aviso, t.numero_aviso) AS numero_aviso, coalesce(s.numero_siniestro, t.numero_siniestro) AS numero_siniestro, "
-    "strftime(coalesce(s.fecha_observacion, t.fecha_observacion), '%Y-%m-%d') AS fecha_observacion, coalesce(s.usuario, t.usuario) AS usuario, "
-    "coalesce(s.observacion, t.observacion) AS observacion, coalesce(s.precio, t.precio) AS precio, CASE WHEN s.numero_aviso IS NULL THEN 'igual' "
-    "WHEN t.numero_aviso IS NULL THEN 'insertada' ELSE 'actualizada' END AS accion, coalesce(s.copias, 0) AS copias FROM t FULL JOIN s "
-    "ON t.numero_aviso = s.numero_aviso AND t.numero_siniestro = s.numero_siniestro AND t.fecha_observacion = s.fecha_observacion AND t.usuario = s.usuario)"
+    "c AS (SELECT *, CASE WHEN o_orderkey % 8 IN (4, 5) THEN 1 ELSE 0 END AS otra FROM orders), "
+    "m AS (SELECT CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END AS numero_aviso, o_custkey AS numero_siniestro, "
+    "strftime(o_orderdate, '%Y-%m-%d') AS fecha_observacion, o_orderstatus AS usuario, 'nuevo ' || CAST(otra AS VARCHAR) AS observacion, "
+    "o_totalprice + otra AS precio, CASE WHEN o_orderkey % 4 = 0 THEN 'insertada' ELSE 'actualizada' END AS accion, CAST(otra + 1 AS BIGINT) AS copias FROM c "
+    "UNION ALL SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d'), o_orderstatus, o_orderpriority, o_totalprice, 'igual', 0 FROM c WHERE o_orderkey % 4 = 0 "
+    "UNION ALL SELECT -o_orderkey - 1, o_custkey, strftime(o_orderdate, '%Y-%m-%d'), o_orderstatus, o_orderpriority, o_totalprice, 'igual', 0 FROM c)"
 )
 
 
@@ -185,7 +188,8 @@ def upsert_counts(spark: SparkSession, folder: str) -> DataFrame:
 )
 def record_upsert(spark: SparkSession, folder: str) -> DataFrame:
     good = nt.accepted(nt.typed_records(records(spark, folder)))
-    merged = tb.upsert(good.drop("ord").limit(0), good, "ord")
+    empty = spark.createDataFrame([], good.drop("ord").schema)
+    merged = tb.upsert(empty, good, "ord")
     return merged.select(*[c for c in UPSERT_KEY if c != "fecha_observacion"], "observacion", F.col("copias").cast("long").alias("copias"))
 
 
@@ -342,7 +346,7 @@ def chunk_ingest(spark: SparkSession, folder: str) -> DataFrame:
     )
     payloads.write.json(f"{root}/inbox")
     first = ingest.ingest_chunks(spark, f"{root}/inbox", f"{root}/table", f"{root}/state", record)
-    payloads.where("chunk_index % 2 = 0").write.mode("append").json(f"{root}/inbox")
+    payloads.write.mode("append").json(f"{root}/inbox")
     stored = ingest.ingest_chunks(spark, f"{root}/inbox", f"{root}/table", f"{root}/state", record)
     assert first.columns == stored.columns
     return stored.groupBy("request_id", "chunk_index").agg(

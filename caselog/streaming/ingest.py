@@ -33,10 +33,9 @@ def stored_schema(record: T.StructType) -> T.StructType:
     )
 
 
-def new_chunks(payloads: DataFrame, stored: DataFrame) -> DataFrame:
-    """Payloads of chunks not stored yet, a chunk sent twice kept once, records exploded."""
-    fresh = payloads.dropDuplicates(CHUNK).join(stored.select(*CHUNK).distinct(), CHUNK, "left_anti")
-    return fresh.select(*CHUNK, F.posexplode("registros").alias("pos", "r")).select(*CHUNK, "pos", "r.*")
+def new_chunks(payloads: DataFrame, taken: DataFrame) -> DataFrame:
+    """Payloads of chunks not taken yet; a chunk sent twice is kept once."""
+    return payloads.dropDuplicates(CHUNK).join(taken.select(*CHUNK), CHUNK, "left_anti")
 
 
 def ingest_chunks(
@@ -49,17 +48,21 @@ def ingest_chunks(
 ) -> DataFrame:
     """Take in all waiting files, then return the table.
 
-    A batch that is retried overwrites its own folder, and chunks stored by earlier batches are
-    skipped, so nothing is kept in streaming state and every chunk ends up in the table once.
+    Beside the table lies a ledger with one row per chunk, so a batch looks up chunks, not records,
+    and nothing is kept in streaming state. A batch that is retried overwrites its own folders.
     """
     schema = stored_schema(record)
+    ledger, ledger_schema = f"{table}_chunks", "request_id string, chunk_index long, batch long"
     spark.createDataFrame([], schema).write.mode("append").partitionBy("batch").parquet(table)
+    spark.createDataFrame([], ledger_schema).write.mode("append").partitionBy("batch").parquet(ledger)
 
     def store(batch: DataFrame, number: int) -> None:
-        earlier = spark.read.schema(schema).parquet(table).where(F.col("batch") != number)
-        rows = new_chunks(batch, earlier)
+        taken = spark.read.schema(ledger_schema).parquet(ledger).where(F.col("batch") != number)
+        fresh = new_chunks(batch, taken)
+        rows = fresh.select(*CHUNK, F.posexplode("registros").alias("pos", "r")).select(*CHUNK, "pos", "r.*")
         rows = transform(rows) if transform else rows
         rows.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        fresh.select(*CHUNK).write.mode("overwrite").parquet(f"{ledger}/batch={number}")
 
     stream = spark.readStream.schema(payload_schema(record)).json(inbox)
     query = (
