@@ -110,10 +110,10 @@ def with_prompts(requests: DataFrame, prompts: DataFrame, version: str) -> DataF
     return requests.join(catalog, "system_key", "left")
 
 
-def distinct_requests(requests: DataFrame) -> DataFrame:
-    """One row per request id; copies of a text are folded before the shuffle."""
-    rest = [F.first(c).alias(c) for c in requests.columns if c != "request_id"]
-    return requests.groupBy("request_id").agg(*rest)
+def distinct_requests(requests: DataFrame, key: list[str] = ("request_id", "step")) -> DataFrame:
+    """One row per request and step; copies of a text are folded before the shuffle."""
+    rest = [F.first(c).alias(c) for c in requests.columns if c not in key]
+    return requests.groupBy(*key).agg(*rest).select(*requests.columns)
 
 
 def pending(requests: DataFrame, responses: DataFrame, key: list[str] = ("request_id", "step")) -> DataFrame:

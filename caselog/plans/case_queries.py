@@ -260,7 +260,7 @@ def note_requests(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _entry_sql(fields: list[str]) -> str:
+def entry_sql(fields: list[str]) -> str:
     lines = [
         f"'  \"{f}\": ' || " + (f"CAST({f} AS VARCHAR)" if f == "total_eventos" else f"to_json({f})::VARCHAR") for f in fields
     ]
@@ -269,7 +269,7 @@ def _entry_sql(fields: list[str]) -> str:
 
 @query(
     "case_requests",
-    f"WITH {sb.CASES_CTE} SELECT numero_siniestro, placa, '<ENTRADA>' || chr(10) || {_entry_sql(rq.CASE_FIELDS)} "
+    f"WITH {sb.CASES_CTE} SELECT numero_siniestro, placa, '<ENTRADA>' || chr(10) || {entry_sql(rq.CASE_FIELDS)} "
     "|| chr(10) || '</ENTRADA>' AS human FROM cases WHERE observaciones_unidas <> ''",
 )
 def case_requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -279,7 +279,7 @@ def case_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "strict_case_requests",
-    f"WITH {sb.CASES_CTE} SELECT numero_siniestro, placa, md5('{rq.STRICT_HEAD}<ENTRADA>' || chr(10) || {_entry_sql(rq.STRICT_FIELDS)} "
+    f"WITH {sb.CASES_CTE} SELECT numero_siniestro, placa, md5('{rq.STRICT_HEAD}<ENTRADA>' || chr(10) || {entry_sql(rq.STRICT_FIELDS)} "
     f"|| chr(10) || '</ENTRADA>' || chr(10) || chr(10) || 'FORMATO_DE_SALIDA:' || chr(10) || '{rq.STRICT_TEMPLATE}') AS huella "
     "FROM cases WHERE observaciones_unidas <> ''",
 )
@@ -307,19 +307,19 @@ def prompt_selection(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("aviso", F.when(F.col("system").isNull(), F.lit("prompt no encontrado")))
 
 
-_BLANKED = "CASE WHEN caso % 3 = 0 THEN ' ' ELSE observacion END"
+BLANKED = "CASE WHEN caso % 3 = 0 THEN ' ' ELSE observacion END"
 
 
 @query(
     "empty_case_records",
     f"WITH n0 AS ({NOTES_SQL}), "
-    + sb.CASES_CTE.replace(f"notes AS ({NOTES_SQL})", f"notes AS (SELECT * REPLACE ({_BLANKED} AS observacion) FROM n0)")
+    + sb.CASES_CTE.replace(f"notes AS ({NOTES_SQL})", f"notes AS (SELECT * REPLACE ({BLANKED} AS observacion) FROM n0)")
     + " SELECT numero_aviso, numero_siniestro, placa, CAST(0 AS BIGINT) AS total_eventos, 'sin datos' AS resumen_general, "
     "0 AS score_final_0a100, 'Nota/Supuesto: no se encontraron observaciones para evaluar.' AS observaciones, 'baja' AS confianza "
     "FROM cases WHERE observaciones_unidas = ''",
 )
 def empty_case_records(spark: SparkSession, folder: str) -> DataFrame:
-    blank = notes(spark, folder).withColumn("observacion", F.expr(_BLANKED))
+    blank = notes(spark, folder).withColumn("observacion", F.expr(BLANKED))
     records_ = au.empty_case_records(tl.unify_cases(blank, "ord"))
     return records_.select(
         "numero_aviso",
