@@ -35,7 +35,7 @@ EXPORT_ORDER = [
     "explicacion_calidad",
     "elementos_faltantes",
 ]
-TRUTH_WORDS = ["true", "false", "t", "f", "yes", "no", "y", "n", "1", "0"]
+TRUTH = r"(?i)^(true|false|t|f|yes|no|y|n|1|0)$"
 WHOLE = r"^[+-]?\d+(_\d+)*$"
 DATE_LIKE = r"^\d{1,4}[-/]\d{1,2}[-/]\d{1,4}"
 TIME_OF_DAY = r"^([01]?\d|2[0-3]):[0-5]?\d(:([0-5]?\d|6[01]))?$"
@@ -149,39 +149,45 @@ def column_types(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
     return _types_of(text, names, 0)
 
 
+# One bit per type a value may have; a column has the types all its values share.
+INT, REAL, BOOL, DATE, TIME, STAMP, SMALL, LONG = (1 << i for i in range(8))
+
+
+def _type_bits(value: Column) -> Column:
+    """Bits of the types the text can be read as; the first matching shape decides what is tried."""
+    number = F.replace(value, F.lit("_"), F.lit("")).try_cast("long")
+    size = F.when(number.between(-(2**31), 2**31 - 1), SMALL | LONG).when(number.isNotNull(), LONG).otherwise(0)
+    whole = F.lit(INT | REAL) + F.when(value.isin("0", "1"), BOOL).otherwise(0) + size
+    dated = F.when(_is_date(value), DATE).otherwise(0) + F.when(_is_timestamp(value), STAMP).otherwise(0)
+    bits = (
+        F.when(value.rlike(WHOLE), whole)
+        .when(F.regexp_replace(value, r"(?<=\d)_(?=\d)", "").rlike(nb.NUMBER), REAL)
+        .when(value.rlike(TRUTH), BOOL)
+        .when(value.rlike(DATE_LIKE), dated)
+        .when(value.rlike(TIME_OF_DAY), TIME)
+        .otherwise(0)
+    )
+    return F.when(value.isNotNull(), bits)
+
+
 def _types_of(text: DataFrame, names: list[str], start: int) -> DataFrame:
-    aggregates = []
-    for i, name in enumerate(names):
-        value = F.col(name)
-        whole = value.rlike(WHOLE)
-        exact = F.when(whole, F.replace(value, F.lit("_"), F.lit("")).try_cast("decimal(38,0)"))
-        tests = {
-            "int": whole,
-            "real": whole | F.regexp_replace(value, r"(?<=\d)_(?=\d)", "").rlike(nb.NUMBER),
-            "bool": F.lower(value).isin(TRUTH_WORDS),
-            "date": _is_date(value),
-            "time": value.rlike(TIME_OF_DAY),
-            "stamp": _is_timestamp(value),
-            "small": exact.between(-(2**31), 2**31 - 1),
-            "long": exact.between(-(2**63), 2**63 - 1),
-        }
-        checks = [
-            F.bool_and(F.when(value.isNotNull(), F.coalesce(t, F.lit(False)))).alias(k) for k, t in tests.items()
-        ]
-        aggregates.append(F.struct(*checks).alias(f"c{i}"))
-    row = text.agg(*aggregates)
+    # Bits are worked out in their own projection: inside the aggregate they would be repeated per
+    # use and grow into one method too large for the JIT.
+    bits = text.select(*[tx.let(F.col(n), _type_bits).alias(f"b{i}") for i, n in enumerate(names)])
+    row = bits.agg(*[F.bit_and(f"b{i}").alias(f"c{i}") for i in range(len(names))])
 
-    def ladder(c: Column) -> Column:
+    def ladder(bits: Column) -> Column:
+        has = lambda bit: bits.bitwiseAND(F.lit(bit)) > 0
         return (
-            F.when(c["int"].isNull(), "TEXT")
-            .when(c["int"] & c["small"], "INTEGER")
-            .when(c["int"] & c["long"], "BIGINT")
-            .when(c["int"], "TEXT")
-            .when(c["real"], "DOUBLE PRECISION")
-            .when(c["bool"], "BOOLEAN")
-            .when(c["date"], "DATE")
-            .when(c["time"], "TIME")
-            .when(c["stamp"], "TIMESTAMP")
+            F.when(bits.isNull(), "TEXT")
+            .when(has(INT) & has(SMALL), "INTEGER")
+            .when(has(INT) & has(LONG), "BIGINT")
+            .when(has(INT), "TEXT")
+            .when(has(REAL), "DOUBLE PRECISION")
+            .when(has(BOOL), "BOOLEAN")
+            .when(has(DATE), "DATE")
+            .when(has(TIME), "TIME")
+            .when(has(STAMP), "TIMESTAMP")
             .otherwise(F.lit("TEXT"))
         )
 
@@ -211,7 +217,7 @@ def apply_types(df: DataFrame, types: DataFrame) -> DataFrame:
             "INTEGER": digits.try_cast("int"),
             "BIGINT": digits.try_cast("long"),
             "DOUBLE PRECISION": digits.try_cast("double"),
-            "BOOLEAN": F.lower(value).isin("true", "t", "yes", "y", "1"),
+            "BOOLEAN": value.rlike(r"(?i)^(true|t|yes|y|1)$"),
             "DATE": dt.parse_first(value, dt.FORMATS["column_date"]).cast("date"),
             "TIME": value,
             "TIMESTAMP": F.coalesce(

@@ -115,24 +115,22 @@ def count_pieces(joined: Column) -> Column:
 
 def case_links(notes: DataFrame, ordinal: str) -> DataFrame:
     """Each note with the key that names its case: aviso, else siniestro, else placa, else itself."""
-    usable = {
-        kind: tx.null_if_blank(tx.first_of_list(F.col(column)))
-        for kind, column in (
-            ("aviso", "numero_aviso"),
-            ("siniestro", "numero_siniestro"),
-            ("placa", "placa"),
-        )
-    }
-    kind = F.coalesce(*[F.when(v.isNotNull(), F.lit(k)) for k, v in usable.items()], F.lit("fila"))
-    key = F.coalesce(*usable.values(), F.col(ordinal).cast("string"))
-    return notes.select(
+    named = {"aviso": "numero_aviso", "siniestro": "numero_siniestro", "placa": "placa"}
+    read = notes.select(
+        ordinal,
+        "fecha_observacion",
+        "observacion",
+        *[tx.null_if_blank(tx.first_of_list(F.col(c))).alias(f"_{kind}") for kind, c in named.items()],
+    )
+    kind = F.coalesce(*[F.when(F.col(f"_{k}").isNotNull(), F.lit(k)) for k in named], F.lit("fila"))
+    key = F.coalesce(*[F.col(f"_{k}") for k in named], F.col(ordinal).cast("string"))
+    every = [F.struct(F.lit(k).alias("tipo"), F.col(f"_{k}").alias("clave")) for k in named]
+    alone = F.struct(F.lit("fila").alias("tipo"), F.when(kind == "fila", key).alias("clave"))
+    return read.select(
         ordinal,
         "fecha_observacion",
         "observacion",
-        F.array(
-            *[F.struct(F.lit(k).alias("tipo"), v.alias("clave")) for k, v in usable.items()],
-            F.struct(F.lit("fila").alias("tipo"), F.when(kind == "fila", key).alias("clave")),
-        ).alias("_all"),
+        F.array(*every, alone).alias("_all"),
         kind.alias("tipo"),
         key.alias("clave"),
     )
