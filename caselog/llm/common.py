@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -55,3 +57,14 @@ def extra_name(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def per_process(name: str, make: Callable[[], object]) -> object:
+    """A value that outlives the task in a Python worker that Spark uses again.
+
+    Worker functions travel by value, so module globals would start afresh with every task.
+    """
+    kept = sys.modules.setdefault("_caselog_worker_values", types.ModuleType("_caselog_worker_values"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
