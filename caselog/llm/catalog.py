@@ -3,6 +3,7 @@
 from caselog.llm import (
     packing,
     secrets,
+    simhash,
     url_filter,
 )
 from caselog.llm.common import QUERIES, SQL
