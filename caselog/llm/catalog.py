@@ -3,6 +3,7 @@
 from caselog.llm import (
     chat_format,
     language_id,
+    mixing,
     nearest,
     packing,
     secrets,
