@@ -8,6 +8,7 @@ from caselog.llm import (
     packing,
     secrets,
     simhash,
+    spot_signatures,
     url_filter,
 )
 from caselog.llm.common import QUERIES, SQL
