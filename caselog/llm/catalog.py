@@ -6,6 +6,7 @@ from caselog.llm import (
     mixing,
     nearest,
     packing,
+    quality,
     secrets,
     simhash,
     spot_signatures,
