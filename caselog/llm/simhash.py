@@ -248,7 +248,10 @@ def links(prints: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> Da
     def linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return link_sorted(batches, distance, block)
 
-    rows = prints.select("bits").distinct().mapInArrow(keyed, "key long, bits long")
+    # A fingerprint becomes some eighty rows, so these few bytes each are spread over all tasks first.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nodes = prints.select("bits").distinct().repartition(parts, "bits")
+    rows = nodes.mapInArrow(keyed, "key long, bits long")
     found = cut_lineage(rows.repartition("key").sortWithinPartitions("key").mapInArrow(linked, LINKS))
     pairs = found.where(F.col("key").isNull()).select("a", "b").distinct()
     long = found.where(F.col("key").isNotNull()).select("key", "block", F.col("a").alias("bits"))
