@@ -18,6 +18,8 @@ PROFILE = 400
 GRAMS = (1, 2, 3)
 #: Fitting reads at most about this many labelled rows of a language, spread evenly by a hash.
 FIT_ROWS = 5_000
+#: Row counts of up to so many languages travel to every task; more are joined.
+LISTED_LANGUAGES = 10_000
 CHAR_BITS = 21
 PIECE = 1 << 20
 
@@ -115,6 +117,9 @@ def fit_profiles(
         F.col(lang).cast("string").alias("lang"), whole_text(text).alias("text"), F.xxhash64(doc).alias("spot")
     )
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    few = sizes.limit(LISTED_LANGUAGES + 1).collect()
+    if len(few) <= LISTED_LANGUAGES:
+        sizes = F.broadcast(rows.sparkSession.createDataFrame(few, sizes.schema))
     part = F.least(F.lit(1.0), F.lit(float(fit_rows)) / F.col("n")) * F.lit(float(1 << 20))
     chosen = labelled.join(sizes, "lang").where(F.pmod("spot", F.lit(1 << 20)) < part).select("lang", "text")
 
