@@ -15,18 +15,19 @@ from caselog.llm.common import extra_name, per_process, query, table, whole_text
 UNKNOWN = "und"
 #: Ranks a profile keeps. The distance charges an n-gram the profile lacks as many places.
 PROFILE = 400
-GRAMS = (1, 2, 3)
 #: Fitting reads at most about this many labelled rows of a language, spread evenly by a hash.
 FIT_ROWS = 5_000
 #: Row counts of up to so many languages travel to every task; more are joined.
 LISTED_LANGUAGES = 10_000
 CHAR_BITS = 21
+#: The character that stands for all that are no letters.
+BLANK = 1
 PIECE = 1 << 20
 
 
 def _letters() -> np.ndarray:
-    """For every code point: its lower case if it is a letter, else zero."""
-    table = np.zeros(0x110000, np.uint32)
+    """For every code point: its lower case if it is a letter, else BLANK."""
+    table = np.full(0x110000, BLANK, np.uint32)
     for code in range(0x110000):
         char = chr(code)
         if char.isalpha():
@@ -38,22 +39,22 @@ def _letters() -> np.ndarray:
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(code, count) of the text's n-grams. Words are runs of letters, framed by one blank.
 
-    An n-gram's code holds its characters in 21 bits each, a blank as zero. N-grams of a long text
-    are counted piece by piece.
+    An n-gram's code holds its characters in 21 bits each. N-grams of a long text are counted piece
+    by piece.
     """
     letters = per_process("letters", _letters)
     codes, counts = [], []
     for at in range(0, len(text), PIECE):
         raw = np.frombuffer(text[at : at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
         chars = letters[raw].astype(np.int64)
-        chars = np.concatenate([[0], chars, [0]])
-        blank = chars == 0
+        chars = np.concatenate([[BLANK], chars, [BLANK]])
+        blank = chars == BLANK
         chars = chars[~(blank & np.append(False, blank[:-1]))]
         if len(chars) < 2:
             continue
         pairs = chars[:-1] << CHAR_BITS | chars[1:]
         triples = pairs[:-1] << CHAR_BITS | chars[2:]
-        grams = np.concatenate([chars[chars > 0], pairs, triples[chars[1:-1] > 0]])
+        grams = np.concatenate([chars[chars != BLANK], pairs, triples[chars[1:-1] != BLANK]])
         code, count = np.unique(grams, return_counts=True)
         codes.append(code), counts.append(count)
     if not codes:
