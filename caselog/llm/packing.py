@@ -23,8 +23,9 @@ OUTPUT_IDS = 1 << 20
 
 #: Texts with these go to the tokenizer whole: special tokens, and separators that str.split() drops.
 WHOLE = re.compile(r"<\||[\x1c-\x1f]")
-#: Marks that may not be parted from the chunk they end, because more marks come before them.
-RUN = re.compile(r"[^\w\s][.,]\s|_[.,]\s")
+#: A comma or full stop after anything but white space, a digit or a letter that stays one letter when
+#: normalized: it may belong to a run of marks, so the text's chunks are left as they are.
+RUN = re.compile("[^a-z0-9\\s\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][.,]\\s")
 JOINED_CHUNKS = 2_000
 
 
