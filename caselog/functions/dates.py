@@ -24,7 +24,6 @@ FORMATS = {
     ],
     "load": ["yyyy/M/d h:m:s a"],
     "column_date": ["yyyy-M-d", "d/M/yyyy", "M/d/yyyy", "yyyy/M/d"],
-    "column_time": ["H:m", "H:m:s"],
     "column_timestamp": [
         "yyyy-M-d H:m:s",
         "yyyy-M-d'T'H:m:s",

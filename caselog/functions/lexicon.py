@@ -100,7 +100,6 @@ CLASS_RULES = {
         "en espera",
     ],
 }
-LAST_RESORT_CLASS = "sin_clasificar"
 
 # Notes without content of their own.
 GENERIC_WORDS = ["sin novedad", "sin cambios", "continua en", "sigue en", "en proceso", "pendiente"]

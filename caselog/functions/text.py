@@ -80,10 +80,22 @@ def fold(text: Column) -> Column:
     return F.translate(F.lower(text), _ACCENTED, _PLAIN)
 
 
+def plain_words(name: str) -> str:
+    """The folded words of a name, one space apart."""
+    folded = name.lower().translate(str.maketrans(_ACCENTED, _PLAIN))
+    return " ".join(re.findall(r"[a-z0-9]+", folded))
+
+
+def phrase_pattern(phrase: str) -> str:
+    """A phrase starts where a word starts; one that ends in a space also ends where a word ends."""
+    start = r"(?<![a-z0-9])" if phrase[:1].isalnum() else ""
+    end = r"(?![a-z0-9])" if phrase.endswith(" ") else ""
+    return start + re.escape(phrase.rstrip(" ") if end else phrase).replace(r"\ ", " ") + end
+
+
 def has_any(folded: Column, phrases: list[str]) -> Column:
-    """True where one of the folded phrases occurs; null text gives false."""
-    pattern = "|".join(re.escape(phrase).replace(r"\ ", " ") for phrase in phrases)
-    return F.coalesce(folded.rlike(pattern), F.lit(False))
+    """True where one of the folded phrases occurs at the start of a word; null text gives false."""
+    return F.coalesce(folded.rlike("|".join(map(phrase_pattern, phrases))), F.lit(False))
 
 
 def matches(folded: Column, pattern: str) -> Column:

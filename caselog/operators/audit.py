@@ -12,7 +12,6 @@ from caselog.functions import text as tx
 from caselog.schemas import AUDIT_FLAT, CLASSES, CONFIDENCE, SCORE_PARTS
 
 WEIGHTS = dict(zip(SCORE_PARTS, (30, 25, 20, 15, 10)))
-MAX_EVIDENCE, MAX_REMARKS = 10, 20
 
 # The audit record stored when nothing could be evaluated.
 DEFAULT_SUMMARY = "No fue posible evaluar."
@@ -40,7 +39,7 @@ def _text(key: str, default: str) -> Column:
     return F.when(has, F.coalesce(_value(key), F.lit("None"))).otherwise(F.lit(default))
 
 
-def _list(key: str, default: list[str], most: int) -> Column:
+def _list(key: str, default: list[str], most: int | None) -> Column:
     has = F.coalesce(F.map_contains_key("answer", F.lit(key)), F.lit(False))
     value, kind = _value(key), _kind(key)
     parsed = F.filter(F.from_json(value, "array<string>"), lambda e: e.isNotNull())
@@ -48,7 +47,8 @@ def _list(key: str, default: list[str], most: int) -> Column:
     items = F.when(kind.startswith("ARRAY"), parsed).otherwise(single)
     empty = F.array().cast("array<string>")
     fallback = F.array(*[F.lit(d) for d in default]) if default else empty
-    return F.slice(F.when(has, F.coalesce(items, empty)).otherwise(fallback), 1, most)
+    whole = F.when(has, F.coalesce(items, empty)).otherwise(fallback)
+    return whole if most is None else F.slice(whole, 1, most)
 
 
 def _score(key: str) -> Column:
@@ -63,8 +63,11 @@ def mean_score(parts: list[Column]) -> Column:
     return F.bround(total.cast("decimal(20,2)") / F.lit(len(parts)), 0).cast("int")
 
 
-def sanitize(parsed: DataFrame) -> DataFrame:
-    """Complete audit record per answer; keys outside the record stay in the map `extras`."""
+def sanitize(parsed: DataFrame, most_evidence: int | None = None, most_remarks: int | None = None) -> DataFrame:
+    """Complete audit record per answer; keys outside the record stay in the map `extras`.
+
+    Lists are kept whole unless a limit is asked for.
+    """
     df = js.with_kinds(parsed, "parsed_text", "_kinds")
     scores = {f"{p}_score_0a100": _score(f"{p}_score_0a100") for p in SCORE_PARTS}
     df = js.pinned(df, **scores)
@@ -81,8 +84,8 @@ def sanitize(parsed: DataFrame) -> DataFrame:
         resumen_general=_text("resumen_general", DEFAULT_SUMMARY),
         **{f"{p}_justificacion": _text(f"{p}_justificacion", DEFAULT_JUSTIFICATION) for p in SCORE_PARTS},
         score_final_0a100=F.when(falsy, mean_score([F.col(c) for c in scores])).otherwise(_score("score_final_0a100")),
-        evidencias=_list("evidencias", [], MAX_EVIDENCE),
-        observaciones=_list("observaciones", [DEFAULT_REMARK], MAX_REMARKS),
+        evidencias=_list("evidencias", [], most_evidence),
+        observaciones=_list("observaciones", [DEFAULT_REMARK], most_remarks),
         confianza=F.when(confidence.isin(CONFIDENCE), confidence).otherwise(F.lit("baja")),
         extras=F.map_filter("answer", lambda k, _: ~k.isin(known)),
     )

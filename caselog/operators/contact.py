@@ -20,7 +20,11 @@ def is_contact(text: Column, phrases: list[str] = lx.CONTACT_PHRASES) -> Column:
 
 
 def contact_metrics(notes: DataFrame, keys: list[str], day: str, contact: Column) -> DataFrame:
-    """Counts, share, contact dates and the days between them, per case."""
+    """Counts, share, contact dates and the days between them, per case.
+
+    `silencio_maximo_dias` also counts the days from the first note to the first contact and from the
+    last contact to the last note; without any contact it is null.
+    """
     profile = day_profile(notes, keys, day, contactos=F.count_if(contact))
     touched = F.when((F.col("contactos") > 0) & F.col("dia").isNotNull(), F.col("dia"))
     earlier = (
@@ -35,6 +39,11 @@ def contact_metrics(notes: DataFrame, keys: list[str], day: str, contact: Column
         F.array_sort(F.collect_list(dated)).alias("_list"),
         F.max("_gap").alias("brecha_maxima_sin_contacto_dias"),
         F.avg("_gap").alias("frecuencia_promedio_contacto_dias"),
+        F.greatest(
+            F.max("_gap"),
+            F.datediff(F.min("_day"), F.min("dia")),
+            F.datediff(F.max("dia"), F.max("_day")),
+        ).alias("silencio_maximo_dias"),
     )
     share = F.col("observaciones_con_contacto_cliente") * F.lit(100.0) / F.col("total_observaciones")
     return case.select(
@@ -50,13 +59,14 @@ def contact_metrics(notes: DataFrame, keys: list[str], day: str, contact: Column
         ),
         "brecha_maxima_sin_contacto_dias",
         "frecuencia_promedio_contacto_dias",
+        "silencio_maximo_dias",
     )
 
 
 def contact_alerts(metrics: DataFrame) -> DataFrame:
-    """Adds the contact light and the alert level."""
+    """Adds the contact light and the alert level, by the longest silence towards the customer."""
     none = F.col("observaciones_con_contacto_cliente") == 0
-    gap = F.coalesce("brecha_maxima_sin_contacto_dias", F.lit(0))
+    gap = F.coalesce("silencio_maximo_dias", F.lit(0))
     share = F.col("porcentaje_comunicacion_cliente")
     light = (
         F.when(none | (gap > RED_SILENCE), "ROJO")

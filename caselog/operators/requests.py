@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from caselog.functions import text as tx
 from caselog.operators import skew
-from caselog.schemas import NOTE_HEADER, REQUESTS, RESPONSES, SCORE_PARTS
+from caselog.schemas import AUDIT_FLAT, CONFIDENCE, NOTE_HEADER, REQUESTS, RESPONSES
 
 CASE_FIELDS = [
     "nit_taller",
@@ -28,35 +29,22 @@ CASE_FIELDS = [
 STRICT_FIELDS = CASE_FIELDS[2:]
 PROMPT_ROWS_MAX = 1_000
 
-# The literal parts of the strict-format request.
 STRICT_HEAD = (
-    "INSTRUCCIONES:\n"
-    "- Usa EXCLUSIVAMENTE los datos de la ENTRADA.\n"
-    "- Devuelve SOLO un JSON único, válido y parseable EXACTAMENTE en el FORMATO_DE_SALIDA "
-    "indicado (sin texto adicional).\n\n"
-)
-STRICT_TAIL_LISTS = (
-    '  "evidencias": [\n'
-    '    "<cita recortada con fecha>",\n'
-    '    "<cita recortada con fecha>"\n'
-    "  ],\n\n"
-    '  "observaciones": [\n'
-    '    "Recomendación: <acción concreta en imperativo>",\n'
-    '    "Nota/Supuesto: <texto breve explicando limitación>"\n'
-    "  ],\n\n"
-    '  "confianza": "baja|media|alta"\n'
+    "TAREA:\n"
+    "- Evalúa el caso usando solo lo que dice la ENTRADA.\n"
+    "- Responde con un único objeto JSON con las claves de FORMATO_DE_SALIDA y nada más.\n\n"
 )
 
 
-def _strict_template() -> str:
-    blocks = [
-        f'  "{part}_score_0a100": 0,\n  "{part}_justificacion": "string",\n' for part in SCORE_PARTS
-    ]
-    opening = '{\n  "resumen_general": "string",\n' + blocks[0]
-    return "\n".join([opening + blocks[1], *blocks[2:], '  "score_final_0a100": 0,\n', STRICT_TAIL_LISTS]) + "}"
+def _output_format() -> str:
+    """The flat audit record as a JSON object: the kind of value each key takes."""
+    shown = {"string": "texto", "int": "entero de 0 a 100", "array<string>": ["texto"]}
+    record = {f.name: shown[f.dataType.simpleString()] for f in AUDIT_FLAT.fields}
+    record["confianza"] = " | ".join(CONFIDENCE)
+    return json.dumps(record, ensure_ascii=False, indent=2)
 
 
-STRICT_TEMPLATE = _strict_template()
+STRICT_TEMPLATE = _output_format()
 
 
 def note_record(df: DataFrame) -> Column:
@@ -121,25 +109,12 @@ def pending(requests: DataFrame, responses: DataFrame, key: list[str] = ("reques
     return requests.join(responses.select(*key).distinct(), list(key), "left_anti")
 
 
-def _invoke(client: Any, system: str, human: str) -> str:
-    """Call a client that offers invoke, predict or generate, or is callable itself."""
-    messages = [("system", system), ("human", human)]
-    if hasattr(client, "invoke"):
-        answer = client.invoke(messages)
-        return answer.content if hasattr(answer, "content") else str(answer)
-    if hasattr(client, "predict"):
-        return str(client.predict(messages))
-    if hasattr(client, "generate"):
-        answer = client.generate(messages)
-        return getattr(answer, "text", str(answer))
-    if callable(client):
-        return str(client(messages))
-    raise TypeError("client offers neither invoke, predict, generate nor a call")
+Client = Callable[[list[tuple[str, str]]], str]
 
 
 def run_inference(
     requests: DataFrame,
-    client: Any,
+    client: Client,
     accept: Callable[[str], bool] = bool,
     attempts: int = 3,
     backoff: Callable[[int], float] = lambda attempt: 2.0 * 2 ** (attempt - 1),
@@ -157,7 +132,7 @@ def run_inference(
                 for attempt in range(1, attempts + 1):
                     raw, error = None, None
                     try:
-                        raw = _invoke(client, row.system, row.human)
+                        raw = str(client([("system", row.system), ("human", row.human)]))
                     except Exception as failure:  # the client may raise anything
                         error = f"{type(failure).__name__}: {failure}"
                     rows.append((row.request_id, row.step, attempt, raw, error))
@@ -172,7 +147,7 @@ def run_inference(
     return placed.mapInPandas(ask, RESPONSES)
 
 
-def answer_pending(requests: DataFrame, path: str, client: Any, **options: Any) -> DataFrame:
+def answer_pending(requests: DataFrame, path: str, client: Client, **options: Any) -> DataFrame:
     """Append responses for unanswered requests to the folder, then return all of them."""
     spark = requests.sparkSession
     spark.createDataFrame([], RESPONSES).write.mode("append").parquet(path)

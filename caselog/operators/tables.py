@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -96,23 +98,27 @@ def export_columns(columns: list[str]) -> list[str]:
 
 
 def clean_name(name: str) -> str:
-    plain = re.sub(r"_+", "_", re.sub(r"[^\w]+", "_", name.strip().lower())).strip("_") or "col"
-    return f"col_{plain}" if plain[0].isdigit() else plain
+    """Lower-case words joined by underscores; a leading digit gets a prefix, no word at all a name."""
+    words = [word for word in re.split(r"[\W_]+", name.lower()) if word]
+    if words and words[0][0].isdigit():
+        words.insert(0, "col")
+    return "_".join(words) or "col"
 
 
-def unique_names(names: list[str]) -> list[str]:
-    taken: list[str] = []
+def unique_names(names: list[str]) -> Iterator[str]:
+    """Repeated names are numbered from 2, past numbers that are already names."""
+    given, last = set(), Counter()
     for name in names:
-        candidate, number = name, 1
-        while candidate in taken:
-            number += 1
-            candidate = f"{name}_{number}"
-        taken.append(candidate)
-    return taken
+        fresh = name
+        while fresh in given:
+            last[name] = max(last[name], 1) + 1
+            fresh = f"{name}_{last[name]}"
+        given.add(fresh)
+        yield fresh
 
 
 def clean_names(columns: list[str]) -> list[str]:
-    return unique_names([clean_name(c) for c in columns])
+    return list(unique_names([clean_name(c) for c in columns]))
 
 
 def _is_date(value: Column) -> Column:
@@ -130,22 +136,12 @@ def _is_timestamp(value: Column) -> Column:
     )
 
 
-def column_types(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
-    """posicion, columna, tipo of text columns, one aggregation pass for all of them.
-
-    All rows are read. With `sample_rows`, each column is judged by that many non-empty values in
-    the order the source yields them.
-    """
+def column_types(df: DataFrame) -> DataFrame:
+    """posicion, columna, tipo of text columns, one aggregation pass over all rows of all columns."""
     names = clean_names(df.columns)
     text = df.toDF(*names).select(
         *[F.nullif(tx.strip_blank(F.col(f"`{n}`").cast("string")), F.lit("")).alias(n) for n in names]
     )
-    if sample_rows is not None:
-        found = [
-            _types_of(text.select(n).where(F.col(n).isNotNull()).limit(sample_rows), [n], at)
-            for at, n in enumerate(names)
-        ]
-        return reduce(DataFrame.unionByName, found)
     return _types_of(text, names, 0)
 
 

@@ -130,12 +130,12 @@ def attempt_fold_atomic(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "error_records",
     "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS numero_aviso, CAST(NULL AS VARCHAR) AS placa, 'sin_clasificar' AS clasificacion, "
-    "'ValueError: ' || o_orderpriority AS explicacion, 0.0::DOUBLE AS confianza, CAST(NULL AS INTEGER) AS calidad_comunicativa_score, "
-    "0 AS faltantes FROM orders WHERE o_orderstatus = 'F'",
+    "'ValueError: ' || o_orderstatus || o_orderpriority AS explicacion, 0.0::DOUBLE AS confianza, CAST(NULL AS INTEGER) AS calidad_comunicativa_score, "
+    "0 AS faltantes FROM orders",
 )
 def error_records(spark: SparkSession, folder: str) -> DataFrame:
-    failed = table(spark, folder, "orders").where("o_orderstatus = 'F'").selectExpr(
-        "o_orderkey", "CAST(o_custkey AS STRING) AS numero_aviso", "'ValueError: ' || o_orderpriority AS error"
+    failed = table(spark, folder, "orders").selectExpr(
+        "o_orderkey", "CAST(o_custkey AS STRING) AS numero_aviso", "'ValueError: ' || o_orderstatus || o_orderpriority AS error"
     )
     return an.error_records(failed).select(
         "o_orderkey", "numero_aviso", "placa", "clasificacion", "explicacion", "confianza",
@@ -145,12 +145,12 @@ def error_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "failed_case_records",
-    "SELECT o_orderkey, 'error' AS resumen_general, 'error: ' || o_orderpriority AS informatividad_justificacion, "
+    "SELECT o_orderkey, 'error' AS resumen_general, 'error: ' || o_orderstatus || o_orderpriority AS informatividad_justificacion, "
     "'error' AS claridad_justificacion, 0 AS score_final_0a100, 'Nota/Supuesto: error en worker.' AS observaciones, 'baja' AS confianza "
-    "FROM orders WHERE o_orderstatus = 'F'",
+    "FROM orders",
 )
 def failed_case_records(spark: SparkSession, folder: str) -> DataFrame:
-    failed = table(spark, folder, "orders").where("o_orderstatus = 'F'").selectExpr("o_orderkey", "o_orderpriority AS error")
+    failed = table(spark, folder, "orders").selectExpr("o_orderkey", "o_orderstatus || o_orderpriority AS error")
     return au.failed_case_records(failed).select(
         "o_orderkey", "resumen_general", "informatividad_justificacion", "claridad_justificacion", "score_final_0a100",
         F.array_join("observaciones", " | ").alias("observaciones"), "confianza",
@@ -170,7 +170,7 @@ _FINAL = f"CASE WHEN shape = 2 THEN 0 WHEN shape = 3 AND a > 0 THEN a WHEN shape
 @query(
     "sanitized_audits",
     "SELECT request_id, " + ", ".join(f"{v} AS {p}" for p, v in zip(SCORE_PARTS, (_SUB[n] for n in "abcde"))) + ", "
-    f"{_FINAL} AS final, CASE WHEN shape = 0 THEN '2024-01-01: uno | dos' WHEN shape = 2 THEN '1 | 2 | 3 | 4 | 5 | 6 | 7 | 8 | 9 | 10' ELSE '' END AS evidencias, "
+    f"{_FINAL} AS final, CASE WHEN shape = 0 THEN '2024-01-01: uno | dos' WHEN shape = 2 THEN '1 | 2 | 3 | 4 | 5 | 6 | 7 | 8 | 9 | 10 | 11 | 12' ELSE '' END AS evidencias, "
     "CASE WHEN shape = 1 THEN 'Recomendación: ver' WHEN shape = 6 THEN 'Nota/Supuesto: x' ELSE 'Nota/Supuesto: salida por defecto.' END AS observaciones, "
     "CASE WHEN shape = 0 THEN 'alta' WHEN shape = 7 THEN 'media' ELSE 'baja' END AS confianza, "
     "CASE WHEN shape = 4 THEN 'None' ELSE 'No fue posible evaluar.' END AS resumen_general, "
@@ -397,7 +397,7 @@ def pending_requests(spark: SparkSession, folder: str) -> DataFrame:
 class EchoClient:
     """Stand-in for a model: refuses some texts, answers others from their length."""
 
-    def invoke(self, messages: list[tuple[str, str]]) -> str:
+    def __call__(self, messages: list[tuple[str, str]]) -> str:
         human = messages[-1][1]
         size = len(human)
         if size % 5 == 0:

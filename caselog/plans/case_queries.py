@@ -36,6 +36,30 @@ def canonical_columns(spark: SparkSession, folder: str) -> DataFrame:
     return nt.canonical_columns(raw, keep=["ord"])
 
 
+# The note header as other exports spell it.
+_LOOSE_HEADER = {
+    "nit_taller": "Nit  Taller",
+    "nombre_taller": "Nombre_Taller",
+    "numero_aviso": "Número Aviso",
+    "numero_siniestro": "NÚMERO siniestro",
+    "placa": "Placa",
+    "usuario": "usuario ",
+    "rol_analista": "Rol del taller, Rol Analista",
+    "observacion": "Observación",
+    "fecha_observacion": "Fecha Observación",
+}
+
+
+@query(
+    "canonical_columns_loose",
+    f"SELECT ord, nit_taller, nombre_taller, numero_aviso, numero_siniestro, placa, usuario, rol_analista, "
+    f"observacion, '' AS clasificacion, fecha_observacion FROM ({NOTES_SQL})",
+)
+def canonical_columns_loose(spark: SparkSession, folder: str) -> DataFrame:
+    raw = notes(spark, folder).drop("clasificacion").withColumnsRenamed(_LOOSE_HEADER)
+    return nt.canonical_columns(raw, keep=["ord"], partial=True)
+
+
 @query(
     "cleaned_cells",
     "SELECT ord, " + ", ".join(f"{sb.clean(c)} AS {c}" for c in [*sb.CLEANED, "fecha_observacion"])

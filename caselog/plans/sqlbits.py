@@ -28,7 +28,12 @@ def fold(x: str) -> str:
 
 
 def has_any(x: str, words: list[str]) -> str:
-    return "(" + " OR ".join(f"coalesce(contains({x}, '{w}'), FALSE)" for w in words) + ")"
+    """Phrases at the start of a word; a trailing space stands for the end of one."""
+    texts = [
+        ("(^|[^a-z0-9])" if w[0] != " " else "") + w.rstrip(" ") + ("($|[^a-z0-9])" if w[-1] == " " else "")
+        for w in words
+    ]
+    return f"coalesce(regexp_matches({x}, '" + "|".join(f"({t})" for t in texts) + "'), FALSE)"
 
 
 def words(x: str) -> str:

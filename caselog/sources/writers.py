@@ -84,9 +84,9 @@ def table_name(path: str) -> str:
     return tb.clean_name(os.path.splitext(os.path.basename(path.rstrip("/")))[0])
 
 
-def load_table(raw: DataFrame, path: str, if_exists: str = "append", sample_rows: int | None = None) -> DataFrame:
+def load_table(raw: DataFrame, path: str, if_exists: str = "append") -> DataFrame:
     """Infer the types of text columns, write the typed table, return the type table."""
-    types = tb.column_types(raw, sample_rows)
+    types = tb.column_types(raw)
     tb.apply_types(raw, types).write.mode(MODES[if_exists]).parquet(path)
     return types
 

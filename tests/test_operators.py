@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from caselog.operators import answers as an
 from caselog.operators import audit as au
+from caselog.operators import contact as co
+from caselog.operators import content as ct
 from caselog.operators import notes as nt
 from caselog.operators import phases as ph
 from caselog.operators import requests as rq
@@ -105,14 +107,13 @@ def test_column_names_and_types(spark):
     try:
         df = spark.createDataFrame(list(zip(*table.values())), ", ".join(f"`{c}` string" for c in table))
         found = [(r.columna, r.tipo) for r in tb.column_types(df).orderBy("posicion").collect()]
-        sampled = [(r.columna, r.tipo) for r in tb.column_types(df, sample_rows=1).orderBy("posicion").collect()]
     finally:
         spark.conf.set("spark.sql.caseSensitive", "false")
     assert found == [
         ("nit_taller", "INTEGER"), ("col_2nd_col", "BIGINT"), ("col", "TEXT"), ("a", "DOUBLE PRECISION"), ("a_2", "INTEGER"),
         ("b", "BOOLEAN"), ("c", "DATE"), ("d", "TIME"), ("e", "TIMESTAMP"), ("f", "TEXT"), ("g", "TEXT"), ("h", "INTEGER"),
     ]
-    assert sampled[3] == ("a", "INTEGER")
+    assert list(tb.unique_names(["a", "a_2", "a", "a", "a_2"])) == ["a", "a_2", "a_3", "a_4", "a_2_2"]
 
 
 def test_parse_ladder(spark):
@@ -196,30 +197,39 @@ def test_inference_retries_and_resumes(spark, tmp_path):
     assert calls.value == 7
 
 
-def test_clients_of_every_kind():
-    class Predicts:
-        def predict(self, messages):
-            return len(messages)
+def test_strict_template_is_json():
+    assert list(json.loads(rq.STRICT_TEMPLATE))[:2] == ["resumen_general", "informatividad_score_0a100"]
 
-    class Generates:
-        def generate(self, messages):
-            return type("Answer", (), {"text": "t"})()
 
-    assert rq._invoke(Predicts(), "s", "h") == "2"
-    assert rq._invoke(Generates(), "s", "h") == "t"
-    with pytest.raises(TypeError):
-        rq._invoke(object(), "s", "h")
+def test_header_match():
+    columns = ["Número  Aviso", "ESTADO AVISO", "observaciones_unidas"]
+    assert nt.header_match(columns, ["numero aviso"]) == "Número  Aviso"
+    assert nt.header_match(columns, ["siniestro"]) is None
+    assert nt.header_match(["ESTADO AVISO"], ["aviso"]) is None
+    assert nt.header_match(["EL ESTADO AVISO", "ESTADO AVISO"], ["aviso"], partial=True) == "ESTADO AVISO"
+    assert nt.header_match(["PREAVISO"], ["aviso"], partial=True) is None
 
 
-def test_strict_template_is_json():
-    assert list(json.loads(rq.STRICT_TEMPLATE))[:2] == ["resumen_general", "informatividad_score_0a100"]
+def test_phrases_start_at_words(spark):
+    texts = ["Se solicita autorización a la aseguradora", "Se empieza pintura", "envío internacional", "nueva cita", "citación", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r.c for r in df.select(ct.classify(F.col("t")).alias("c")).collect()]
+    assert found == ["comunicacion_interna", "cambio_estado", "sin_clasificar", "comunicacion_cliente", "sin_clasificar", "sin_clasificar"]
 
 
-def test_find_column():
-    columns = ["Número  Aviso", "ESTADO AVISO", "observaciones_unidas"]
-    assert nt.find_column(columns, ["numero aviso"]) == "Número  Aviso"
-    assert nt.find_column(columns, ["siniestro"]) is None
-    assert nt.find_column(["ESTADO AVISO"], ["aviso"], containment=True) == "ESTADO AVISO"
+def test_silence_around_the_only_contact(spark):
+    rows = [(1, "2024-01-01", True), (1, "2024-03-01", False), (2, "2024-01-01", False), (2, "2024-01-20", True), (3, "2024-01-01", True), (3, "2024-01-02", False)]
+    notes = spark.createDataFrame(rows, "caso int, d string, c boolean").withColumn("dia", F.to_date("d"))
+    alerts = co.contact_alerts(co.contact_metrics(notes, ["caso"], "dia", F.col("c")))
+    found = {r.caso: (r.silencio_maximo_dias, r.codigo_visual, r.nivel_alerta) for r in alerts.collect()}
+    assert found == {1: (60, "ROJO", "CRITICA"), 2: (19, "ROJO", "CRITICA"), 3: (1, "VERDE", "SIN_ALERTA")}
+
+
+def test_long_lists_stay_whole(spark):
+    raw = '{"evidencias":[%s]}' % ",".join(f'"{i}"' for i in range(40))
+    parsed = an.parse_robust(spark.createDataFrame([("r", 1, raw)], "request_id string, attempt int, raw string"))
+    assert len(au.sanitize(parsed).first().evidencias) == 40
+    assert len(au.sanitize(parsed, most_evidence=10).first().evidencias) == 10
 
 
 def test_note_csv_needs_its_column(spark, tmp_path):
