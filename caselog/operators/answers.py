@@ -173,6 +173,11 @@ def validate(parsed: DataFrame) -> DataFrame:
     ).drop("_kinds", "_core", "_late")
 
 
+def judged(responses: DataFrame) -> DataFrame:
+    """Note responses read and validated: the gate of the note step."""
+    return validate(parse_basic(responses))
+
+
 CORE = ["clasificacion", "explicacion", "confianza", "calidad_comunicativa_score"]
 QUALITY = ["explicacion_calidad", "elementos_faltantes"]
 
@@ -208,12 +213,12 @@ def fold_attempts(validated: DataFrame, parity: bool = True) -> DataFrame:
 def classified_notes(notes: DataFrame, folded: DataFrame) -> DataFrame:
     """Notes with their folded answers; a note without prompt or answer gets the defaults.
 
-    `notes` holds request_id and `system` (null when no prompt was found).
+    `notes` holds request_id and `con_prompt`, whether a prompt was found.
     """
     from caselog.operators.requests import rows_with_answers
 
     joined = rows_with_answers(notes, folded)
-    no_prompt = F.col("system").isNull()
+    no_prompt = ~F.col("con_prompt")
     text = F.when(no_prompt, F.lit(NO_PROMPT_TEXT)).otherwise(
         F.coalesce(F.col("explicacion"), F.lit(UNPARSED_TEXT))
     )

@@ -5,15 +5,15 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
-from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselog.functions import text as tx
+from caselog.operators import answers as an
 from caselog.operators import skew
-from caselog.schemas import AUDIT_FLAT, CONFIDENCE, NOTE_HEADER, REQUESTS, RESPONSES
+from caselog.schemas import AUDIT_FLAT, CONFIDENCE, NOTE_HEADER, RESPONSES
 
 CASE_FIELDS = [
     "nit_taller",
@@ -27,7 +27,7 @@ CASE_FIELDS = [
     "observaciones_unidas",
 ]
 STRICT_FIELDS = CASE_FIELDS[2:]
-PROMPT_ROWS_MAX = 1_000
+PROMPT_ROWS_MAX, PROMPT_CHARS_MAX, PROMPT_SALTS = 1_000, 10_000_000, 64
 
 STRICT_HEAD = (
     "TAREA:\n"
@@ -87,15 +87,32 @@ def request_id(step: Column, system_key: Column, human: Column) -> Column:
     return F.sha2(F.concat_ws("\u0001", step, system_key, human), 256)
 
 
+def prompt_texts(prompts: DataFrame, version: str) -> DataFrame:
+    """system_key and system, one row per key; blank texts are null, the first of several is taken."""
+    named = prompts.where((F.col("version") == version) & F.col("key").isNotNull())
+    text = F.nullif(tx.strip_blank(F.col("text")), F.lit(""))
+    return named.groupBy(F.col("key").alias("system_key")).agg(F.min(text).alias("system"))
+
+
 def with_prompts(requests: DataFrame, prompts: DataFrame, version: str) -> DataFrame:
-    """Adds the system text for `system_key`; null where the catalog has none."""
-    catalog = prompts.where(F.col("version") == version).select(
-        F.col("key").alias("system_key"), F.nullif(tx.strip_blank(F.col("text")), F.lit("")).alias("system")
-    )
-    small = len(catalog.limit(PROMPT_ROWS_MAX + 1).select("system_key").collect()) <= PROMPT_ROWS_MAX
-    if small:
-        catalog = F.broadcast(catalog)
-    return requests.join(catalog, "system_key", "left")
+    """Adds the system text for `system_key`; null where the catalog has none.
+
+    A catalog of up to PROMPT_ROWS_MAX keys and PROMPT_CHARS_MAX characters is broadcast. A larger one
+    is joined with each key spread over PROMPT_SALTS rows, as most requests share a few keys.
+    """
+    catalog = prompt_texts(prompts, version)
+    size = catalog.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("system")).alias("chars")).first()
+    if size["n"] <= PROMPT_ROWS_MAX and (size["chars"] or 0) <= PROMPT_CHARS_MAX:
+        return requests.join(F.broadcast(catalog), "system_key", "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(PROMPT_SALTS - 1))).alias("_salt")
+    salted = requests.withColumn("_salt", F.pmod(F.xxhash64(*requests.columns), F.lit(PROMPT_SALTS)).cast("int"))
+    return salted.join(catalog.select("*", salts), ["system_key", "_salt"], "left").drop("_salt")
+
+
+def with_prompt_flag(rows: DataFrame, prompts: DataFrame, version: str) -> DataFrame:
+    """Adds `con_prompt`: whether the catalog has a text for `system_key`. The text stays behind."""
+    known = prompts.withColumn("text", F.when(~tx.is_blank(F.col("text")), F.lit("x")))
+    return with_prompts(rows, known, version).withColumn("con_prompt", F.col("system").isNotNull()).drop("system")
 
 
 def distinct_requests(requests: DataFrame, key: list[str] = ("request_id", "step")) -> DataFrame:
@@ -104,56 +121,91 @@ def distinct_requests(requests: DataFrame, key: list[str] = ("request_id", "step
     return requests.groupBy(*key).agg(*rest).select(*requests.columns)
 
 
-def pending(requests: DataFrame, responses: DataFrame, key: list[str] = ("request_id", "step")) -> DataFrame:
-    """Requests without any stored response."""
-    return requests.join(responses.select(*key).distinct(), list(key), "left_anti")
+def readable(responses: DataFrame) -> DataFrame:
+    """Adds `valid`: the answer is a JSON object."""
+    return an.parse_basic(responses).withColumn("valid", F.col("answer").isNotNull())
 
 
-Client = Callable[[list[tuple[str, str]]], str]
-
-
-def run_inference(
+def pending(
     requests: DataFrame,
-    client: Client,
-    accept: Callable[[str], bool] = bool,
-    attempts: int = 3,
-    backoff: Callable[[int], float] = lambda attempt: 2.0 * 2 ** (attempt - 1),
-    slots: int | None = None,
+    judged: DataFrame,
+    key: list[str] = ("request_id", "step"),
+    most_attempts: int | None = None,
 ) -> DataFrame:
-    """One row per attempt. `slots` caps how many calls run at once.
+    """Requests without a valid response, with the number of their next attempt.
 
-    The client is called while the plan runs, so write the result before reading it twice.
+    `judged` holds stored responses with `attempt` and `valid`; errors and invalid answers leave a
+    request pending until it has had `most_attempts`.
+    """
+    state = judged.groupBy(*key).agg(F.max("attempt").alias("_tried"), F.bool_or("valid").alias("_done"))
+    attempt = (F.coalesce("_tried", F.lit(0)) + 1).cast("int").alias("attempt")
+    open_ = requests.join(state, list(key), "left").where(~F.coalesce("_done", F.lit(False)))
+    todo = open_.select(*requests.columns, attempt)
+    return todo if most_attempts is None else todo.where(F.col("attempt") <= most_attempts)
+
+
+#: Gets the messages as (role, text) and the attempt's number, returns the answer's text.
+Client = Callable[[list[tuple[str, str]], int], str]
+
+
+def run_inference(requests: DataFrame, client: Client, slots: int | None = None) -> DataFrame:
+    """One call per row of request_id, step, attempt, system and human; errors are rows too.
+
+    `slots` caps how many calls run at once. The client is called while the plan runs, so write the
+    result before reading it twice.
     """
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for row in batch.itertuples(index=False):
-                for attempt in range(1, attempts + 1):
-                    raw, error = None, None
-                    try:
-                        raw = str(client([("system", row.system), ("human", row.human)]))
-                    except Exception as failure:  # the client may raise anything
-                        error = f"{type(failure).__name__}: {failure}"
-                    rows.append((row.request_id, row.step, attempt, raw, error))
-                    if error is None and accept(raw):
-                        break
-                    if attempt < attempts:
-                        time.sleep(backoff(attempt))
+                raw, error = None, None
+                try:
+                    raw = str(client([("system", row.system), ("human", row.human)], row.attempt))
+                except Exception as failure:  # the client may raise anything
+                    error = f"{type(failure).__name__}: {failure}"
+                rows.append((row.request_id, row.step, row.attempt, raw, error))
             yield pd.DataFrame(rows, columns=RESPONSES.fieldNames())
 
-    asked = distinct_requests(requests.select(*REQUESTS.fieldNames()))
-    placed = asked.repartition(slots, "request_id") if slots else asked
-    return placed.mapInPandas(ask, RESPONSES)
+    placed = requests.repartition(slots, "request_id") if slots else requests
+    return placed.select("request_id", "step", "attempt", "system", "human").mapInPandas(ask, RESPONSES)
 
 
-def answer_pending(requests: DataFrame, path: str, client: Client, **options: Any) -> DataFrame:
-    """Append responses for unanswered requests to the folder, then return all of them."""
+def answer_pending(
+    requests: DataFrame,
+    path: str,
+    client: Client,
+    prompts: DataFrame | None = None,
+    version: str = "",
+    accept: Callable[[DataFrame], DataFrame] = readable,
+    attempts: int = 3,
+    most_attempts: int | None = None,
+    backoff: Callable[[int], float] = lambda attempt: 2.0 * 2 ** (attempt - 1),
+    slots: int | None = None,
+) -> DataFrame:
+    """Ask until every request has a valid response, in at most `attempts` rounds; return all responses.
+
+    A round asks each pending request once and stores its responses before the next one judges them
+    with `accept`, which adds `valid` to responses. So a lost task repeats its calls of one round only,
+    invalid answers are asked again, and a later run asks again what failed before, up to
+    `most_attempts` in all. With `prompts`, the text of `system_key` is attached to the distinct
+    pending requests just before they are sent; without, `system` comes with the requests.
+    """
     spark = requests.sparkSession
     spark.createDataFrame([], RESPONSES).write.mode("append").parquet(path)
-    stored = spark.read.schema(RESPONSES).parquet(path)
-    todo = pending(requests, stored)
-    run_inference(todo, client, **options).write.mode("append").parquet(path)
+    told = "system" if prompts is None else "system_key"
+    asked = distinct_requests(requests.select("request_id", "step", told, "human"))
+    for number in range(1, attempts + 1):
+        stored = spark.read.schema(RESPONSES).parquet(path)
+        todo = pending(asked, accept(stored), most_attempts=most_attempts)
+        if number > 1:
+            if todo.isEmpty():
+                break
+            time.sleep(backoff(number - 1))
+        if prompts is not None:
+            todo = with_prompts(todo, prompts, version)
+        todo = todo.withColumn("system", F.coalesce("system", F.lit("")))
+        run_inference(todo, client, slots).write.mode("append").parquet(path)
     return spark.read.schema(RESPONSES).parquet(path)
 
 

@@ -15,7 +15,7 @@ from caselog.operators import content as ct
 from caselog.operators import requests as rq
 from caselog.plans.inputs import AUDITS_SQL, NOTES_SQL, RESPONSES_SQL, audit_answers, notes, responses
 from caselog.plans.registry import query, table
-from caselog.schemas import ALERTS_ANSWER, QUALITY_ANSWER, REQUESTS, SCORE_PARTS
+from caselog.schemas import ALERTS_ANSWER, QUALITY_ANSWER, SCORE_PARTS
 from caselog.session import shared_path
 
 KEY = ["request_id", "attempt"]
@@ -381,63 +381,90 @@ def parse_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "pending_requests",
-    "SELECT CAST(o_orderkey AS VARCHAR) AS request_id, o_orderstatus AS step FROM orders WHERE NOT (o_orderkey % 3 = 0 AND o_orderstatus = 'O')",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS request_id, o_orderstatus AS step, CAST(CASE WHEN o_orderstatus = 'O' THEN 3 ELSE 1 END AS INTEGER) AS attempt "
+    "FROM orders WHERE NOT (o_orderkey % 3 = 0 AND o_orderstatus = 'O')",
 )
 def pending_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Every open order was asked twice; a third of them got a valid answer the second time."""
     orders = table(spark, folder, "orders")
     asked = orders.selectExpr("CAST(o_orderkey AS STRING) AS request_id", "o_orderstatus AS step")
     stored = orders.selectExpr(
-        "CAST(o_orderkey AS STRING) AS request_id",
-        "CASE WHEN o_orderkey % 3 = 0 THEN 'O' ELSE 'otro' END AS step",
-        "explode(array(1, 2)) AS attempt",
+        "CAST(o_orderkey AS STRING) AS request_id", "'O' AS step", "o_orderkey", "explode(array(1, 2)) AS attempt"
     )
-    return rq.pending(asked, stored)
+    return rq.pending(asked, stored.withColumn("valid", F.expr("attempt = 2 AND o_orderkey % 3 = 0")))
 
 
 class EchoClient:
-    """Stand-in for a model: refuses some texts, answers others from their length."""
+    """Stand-in for a model: refuses some texts, garbles others once, answers the rest from their length."""
 
-    def __call__(self, messages: list[tuple[str, str]]) -> str:
-        human = messages[-1][1]
-        size = len(human)
+    def __call__(self, messages: list[tuple[str, str]], attempt: int) -> str:
+        size = len(messages[-1][1])
         if size % 5 == 0:
             raise TimeoutError("sin respuesta")
-        if size % 7 == 0:
-            return "no json"
-        return '{"clasificacion":"sin_cambio","confianza":0.5,"calidad_comunicativa_score":%d}' % (size % 101)
+        if size % 7 == 0 and attempt == 1:
+            return '{"clasificacion":"otra"}'
+        return _note_answer(size)
 
 
-def _readable(raw: str) -> bool:
-    return "{" in raw
+class SteadyClient:
+    """Answers every text the way EchoClient does in the end."""
 
+    def __call__(self, messages: list[tuple[str, str]], attempt: int) -> str:
+        return _note_answer(len(messages[-1][1]))
 
-_ASKED = f"SELECT ord, 'Observación: ' || coalesce(observacion, 'None') AS human, ord % 10 = 0 AS sin_prompt FROM ({NOTES_SQL})"
 
+def _note_answer(size: int) -> str:
+    return '{"clasificacion":"sin_cambio","confianza":0.5,"calidad_comunicativa_score":%d}' % (size % 101)
 
-@query(
-    "inferred_notes",
-    f"SELECT ord, CASE WHEN sin_prompt OR length(human) % 5 = 0 OR length(human) % 7 = 0 THEN 'sin_clasificar' ELSE 'sin_cambio' END AS clasificacion, "
-    "CASE WHEN sin_prompt THEN 'prompt no encontrado' WHEN length(human) % 5 = 0 OR length(human) % 7 = 0 THEN 'no se pudo parsear salida LLM' "
-    "ELSE 'sin explicación' END AS explicacion, CASE WHEN sin_prompt OR length(human) % 5 = 0 OR length(human) % 7 = 0 THEN 0 ELSE CAST(length(human) % 101 AS INTEGER) END "
-    "AS calidad_comunicativa_score, CASE WHEN sin_prompt THEN NULL WHEN length(human) % 5 = 0 OR length(human) % 7 = 0 THEN 3 ELSE 1 END AS intentos "
-    f"FROM ({_ASKED})",
-)
-def inferred_notes(spark: SparkSession, folder: str) -> DataFrame:
+
+def _ask_notes(spark: SparkSession, folder: str, clients: list[rq.Client]) -> DataFrame:
+    """The notes folded with their answers after one run per client; every tenth has no prompt."""
     path = shared_path(spark, "responses")
+    prompts = spark.createDataFrame([("v4", "notas", "instrucciones")], "version string, key string, text string")
     human = rq.note_text(F.col("observacion"))
+    key = F.when(F.col("ord") % 10 > 0, F.lit("notas"))
     asked = notes(spark, folder).select(
         "ord",
         F.lit("NOTA").alias("step"),
-        F.when(F.col("ord") % 10 > 0, F.lit("instrucciones")).alias("system"),
+        key.alias("system_key"),
         human.alias("human"),
-        rq.request_id(F.lit("NOTA"), F.expr("CASE WHEN ord % 10 > 0 THEN 'notas' END"), human).alias("request_id"),
+        rq.request_id(F.lit("NOTA"), key, human).alias("request_id"),
     )
-    ready = asked.where(F.col("system").isNotNull()).select(*REQUESTS.fieldNames())
-    stored = rq.answer_pending(ready, path, EchoClient(), accept=_readable, backoff=lambda attempt: 0.0)
-    stored = rq.answer_pending(ready, path, EchoClient(), accept=_readable, backoff=lambda attempt: 0.0)
-    folded = an.fold_attempts(an.validate(an.parse_basic(stored)))
-    done = an.classified_notes(asked.drop("human", "step"), folded)
-    return done.select("ord", "clasificacion", "explicacion", "calidad_comunicativa_score", "intentos")
+    asked = rq.with_prompt_flag(asked, prompts, "v4")
+    for client in clients:
+        options = {"accept": an.judged, "backoff": lambda attempt: 0.0}
+        stored = rq.answer_pending(asked.where("con_prompt"), path, client, prompts, "v4", **options)
+    done = an.classified_notes(asked.drop("human", "step", "system_key"), an.fold_attempts(an.judged(stored)))
+    return done.select("ord", "clasificacion", "explicacion", "calidad_comunicativa_score", "intento_valido", "intentos")
+
+
+_ASKED = f"SELECT ord, length('Observación: ' || coalesce(observacion, 'None')) AS n, ord % 10 = 0 AS sin_prompt FROM ({NOTES_SQL})"
+
+
+@query(
+    "inferred_notes",
+    "SELECT ord, CASE WHEN sin_prompt OR n % 5 = 0 THEN 'sin_clasificar' ELSE 'sin_cambio' END AS clasificacion, "
+    "CASE WHEN sin_prompt THEN 'prompt no encontrado' WHEN n % 5 = 0 THEN 'no se pudo parsear salida LLM' ELSE 'sin explicación' END AS explicacion, "
+    "CASE WHEN sin_prompt OR n % 5 = 0 THEN 0 ELSE CAST(n % 101 AS INTEGER) END AS calidad_comunicativa_score, "
+    "CASE WHEN sin_prompt OR n % 5 = 0 THEN NULL WHEN n % 7 = 0 THEN 2 ELSE 1 END AS intento_valido, "
+    f"CASE WHEN sin_prompt THEN NULL WHEN n % 5 = 0 THEN 3 WHEN n % 7 = 0 THEN 2 ELSE 1 END AS intentos FROM ({_ASKED})",
+)
+def inferred_notes(spark: SparkSession, folder: str) -> DataFrame:
+    """Attempt 2 repairs an invalid attempt 1; what always fails is asked three times."""
+    return _ask_notes(spark, folder, [EchoClient()])
+
+
+@query(
+    "resumed_notes",
+    "SELECT ord, CASE WHEN sin_prompt THEN 'sin_clasificar' ELSE 'sin_cambio' END AS clasificacion, "
+    "CASE WHEN sin_prompt THEN 'prompt no encontrado' ELSE 'sin explicación' END AS explicacion, "
+    "CASE WHEN sin_prompt THEN 0 ELSE CAST(n % 101 AS INTEGER) END AS calidad_comunicativa_score, "
+    "CASE WHEN sin_prompt THEN NULL WHEN n % 5 = 0 THEN 4 WHEN n % 7 = 0 THEN 2 ELSE 1 END AS intento_valido, "
+    f"CASE WHEN sin_prompt THEN NULL WHEN n % 5 = 0 THEN 4 WHEN n % 7 = 0 THEN 2 ELSE 1 END AS intentos FROM ({_ASKED})",
+)
+def resumed_notes(spark: SparkSession, folder: str) -> DataFrame:
+    """A later run asks again what failed in the first, and nothing else."""
+    return _ask_notes(spark, folder, [EchoClient(), SteadyClient()])
 
 
 _NOTE_SCORE = "CAST(round_even((40*a + 35*b + 25*d) / 100.0, 0) AS INTEGER)"

@@ -14,13 +14,13 @@ from caselog.plans.inputs import NOTES_SQL, notes
 from caselog.plans.registry import query
 from caselog.session import shared_path
 
-NO_WAIT = {"backoff": lambda attempt: 0.0, "accept": lambda raw: "{" in raw}
+NO_WAIT = {"backoff": lambda attempt: 0.0}
 
 
 class CaseClient:
     """Answers the alert step always and the quality step for three texts in four."""
 
-    def __call__(self, messages: list[tuple[str, str]]) -> str:
+    def __call__(self, messages: list[tuple[str, str]], attempt: int) -> str:
         system, human = messages[0][1], messages[1][1]
         if system == "alertas":
             return '{"largo":%d,"placa":"modelo"}' % len(human)
@@ -60,7 +60,7 @@ def audited_cases(spark: SparkSession, folder: str) -> DataFrame:
 
 
 class NoteClient:
-    def __call__(self, messages: list[tuple[str, str]]) -> str:
+    def __call__(self, messages: list[tuple[str, str]], attempt: int) -> str:
         size = len(messages[1][1])
         return '{"clasificacion":"cambio_estado","confianza":0.5,"calidad_comunicativa_score":%d}' % (size % 101)
 

@@ -11,7 +11,7 @@ from caselog.operators import answers as an
 from caselog.operators import audit as au
 from caselog.operators import notes as nt
 from caselog.operators import requests as rq
-from caselog.schemas import NOTE_HEADER, REQUESTS
+from caselog.schemas import NOTE_HEADER
 
 # The catalog keys of the three prompts.
 NOTE_PROMPT = "observaciones_clasificacion_prompt"
@@ -27,19 +27,19 @@ def classify_notes(
 ) -> DataFrame:
     """Notes with class, confidence, quality score and missing elements.
 
-    Responses are stored under `path` before they are read, so a rerun asks only what is missing.
-    Notes without a prompt are never sent and keep the defaults.
+    Responses are stored under `path` before they are read. Invalid and failed answers are asked again,
+    in this run and in later ones. Notes without a prompt are never sent and keep the defaults.
     """
     cells = [c for c in [*NOTE_HEADER.values(), "estado_aviso"] if c in notes.columns]
     human = rq.note_text(F.col("observacion"))
-    asked = nt.note_scalars(notes, cells).withColumn("system_key", F.lit(NOTE_PROMPT))
-    asked = rq.with_prompts(asked, prompts, version).withColumns({"step": F.lit("NOTA"), "human": human})
+    asked = nt.note_scalars(notes, cells).withColumns({"system_key": F.lit(NOTE_PROMPT), "step": F.lit("NOTA")})
+    asked = rq.with_prompt_flag(asked, prompts, version).withColumn("human", human)
     asked = asked.withColumn("request_id", rq.request_id(F.col("step"), F.lit(version), human))
-    ready = asked.where(F.col("system").isNotNull()).select(*REQUESTS.fieldNames())
-    stored = rq.answer_pending(ready, path, client, **options)
-    folded = an.fold_attempts(an.validate(an.parse_basic(stored)))
+    ready = asked.where("con_prompt").select("request_id", "step", "system_key", "human")
+    stored = rq.answer_pending(ready, path, client, prompts, version, accept=an.judged, **options)
+    folded = an.fold_attempts(an.judged(stored))
     done = an.classified_notes(asked.drop("human", "step", "clasificacion", "system_key"), folded)
-    return done.drop("request_id", "system")
+    return done.drop("request_id", "con_prompt")
 
 
 def audit_cases(
@@ -64,9 +64,8 @@ def audit_cases(
     asked = texts.where(F.col("request_id").isNotNull()).select(
         "request_id", human.alias("human"), F.explode(steps).alias("s")
     )
-    asked = rq.with_prompts(asked.select("request_id", "human", "s.*"), prompts, version)
-    ready = asked.withColumn("system", F.coalesce("system", F.lit(""))).select(*REQUESTS.fieldNames())
-    stored = rq.answer_pending(ready, path, client, **options)
+    ready = asked.select("request_id", "human", "s.*")
+    stored = rq.answer_pending(ready, path, client, prompts, version, **options)
     answered = au.step_answers(an.parse_basic(stored))
     joined = rq.rows_with_answers(texts, answered)
     identity = {c: F.col(c).cast("string") for c in rq.CASE_FIELDS}

@@ -71,7 +71,6 @@ UPSERT_TARGET = _fields(
     }
 )
 
-REQUESTS = _fields({"request_id": TEXT, "step": TEXT, "system": TEXT, "human": TEXT})
 RESPONSES = _fields(
     {"request_id": TEXT, "step": TEXT, "attempt": WHOLE, "raw": TEXT, "error": TEXT}
 )

@@ -178,23 +178,35 @@ def test_upsert_twice_is_upsert_once(spark):
 def test_inference_retries_and_resumes(spark, tmp_path):
     calls = spark.sparkContext.accumulator(0)
 
-    def client(messages):
+    def client(messages, attempt):
         calls.add(1)
         if messages[1][1] == "boom":
             raise RuntimeError("no")
-        return "{}" if messages[1][1] == "good" else "bad"
+        return "{}" if messages[1][1] == "good" or attempt == 5 else "bad"
 
     asked = spark.createDataFrame(
-        [("1", "S", "sys", "good"), ("1", "S", "sys", "good"), ("2", "S", "sys", "boom"), ("3", "S", "sys", "other")],
-        "request_id string, step string, system string, human string",
+        [("1", "S", "k", "good"), ("1", "S", "k", "good"), ("2", "S", "k", "boom"), ("3", "S", "none", "other")],
+        "request_id string, step string, system_key string, human string",
     )
-    options = {"accept": lambda raw: raw == "{}", "backoff": lambda attempt: 0.0}
-    first = rq.answer_pending(asked, str(tmp_path / "r"), client, **options)
-    assert {(r.request_id, r.n) for r in first.groupBy("request_id").agg(F.count("*").alias("n")).collect()} == {("1", 1), ("2", 3), ("3", 3)}
+    prompts = spark.createDataFrame([("v", "k", "sys"), ("v", "k", "sys"), ("w", "k", "x")], "version string, key string, text string")
+    options = {"backoff": lambda attempt: 0.0, "prompts": prompts, "version": "v"}
+    path = str(tmp_path / "r")
+    count = lambda df: {(r.request_id, r.n) for r in df.groupBy("request_id").agg(F.count("*").alias("n")).collect()}
+    first = rq.answer_pending(asked, path, client, **options)
+    assert count(first) == {("1", 1), ("2", 3), ("3", 3)}
     assert calls.value == 7
     assert first.where("request_id = '2'").first().error == "RuntimeError: no"
-    rq.answer_pending(asked, str(tmp_path / "r"), client, **options).count()
-    assert calls.value == 7
+    assert count(rq.answer_pending(asked, path, client, **options)) == {("1", 1), ("2", 6), ("3", 5)}
+    rq.answer_pending(asked, path, client, most_attempts=6, **options)
+    assert calls.value == 12
+
+
+def test_prompts_join_alike_beyond_the_broadcast_limit(spark, monkeypatch):
+    asked = spark.createDataFrame([(i, "a" if i % 3 else None if i % 2 else "b") for i in range(30)], "i int, system_key string")
+    prompts = spark.createDataFrame([("v", "a", " A "), ("v", "b", " "), ("w", "c", "C")], "version string, key string, text string")
+    small = rows(rq.with_prompts(asked, prompts, "v").select("i", "system"))
+    monkeypatch.setattr(rq, "PROMPT_ROWS_MAX", 0)
+    assert rows(rq.with_prompts(asked, prompts, "v").select("i", "system")) == small
 
 
 def test_strict_template_is_json():
