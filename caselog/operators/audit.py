@@ -104,8 +104,8 @@ def _default_columns(overrides: dict[str, Column]) -> list[Column]:
 
 
 def empty_case_records(cases: DataFrame) -> DataFrame:
-    """Default audit of cases without any note text."""
-    empty = cases.where(F.col("observaciones_unidas") == "")
+    """Default audit of cases without any note text, one row per case."""
+    empty = cases.where((F.col("eventos_no_vacios") == 0) & (F.col("parte") == 0))
     remarks = {
         "resumen_general": F.lit(EMPTY_CASE_SUMMARY),
         "observaciones": F.array(F.lit(EMPTY_CASE_REMARK)),
@@ -150,6 +150,13 @@ def merge_answers(base: Column, layers: list[Column], protected: list[str] = ())
     return merged
 
 
+def merge_all(base: Column, layers: Column, protected: list[str] = ()) -> Column:
+    """merge_answers over a list of layers."""
+    empty = F.create_map().cast("map<string,string>")
+    start = F.map_concat(base, empty)
+    return F.aggregate(layers, start, lambda merged, layer: merge_answers(merged, [layer], protected))
+
+
 def _without(entries: Column, others: Column) -> Column:
     return F.map_filter(entries, lambda k, _: ~F.map_contains_key(others, k))
 

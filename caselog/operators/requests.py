@@ -58,7 +58,10 @@ def note_text(observation: Column) -> Column:
 
 
 def entry_json(df: DataFrame, fields: list[str], null_as_text: bool = False) -> Column:
-    """Case fields as indented JSON. Counts stay numbers, everything else is text or null."""
+    """Case fields as indented JSON. Counts stay numbers, everything else is text or null.
+
+    A part of a case says which of how many it is.
+    """
     lines = []
     for name in fields:
         value = F.col(name)
@@ -67,6 +70,9 @@ def entry_json(df: DataFrame, fields: list[str], null_as_text: bool = False) ->
         else:
             shown = tx.json_text(F.coalesce(value, F.lit("")) if null_as_text else value)
         lines.append(F.concat(F.lit(f'  "{name}": '), shown))
+    if "partes" in df.columns:
+        count = F.concat(F.lit('  "parte": '), F.col("parte") + 1, F.lit(',\n  "partes": '), F.col("partes"))
+        lines.insert(-1, F.when(F.col("partes") > 1, count))
     return F.concat(F.lit("{\n"), F.concat_ws(",\n", *lines), F.lit("\n}"))
 
 

@@ -32,10 +32,16 @@ class Heavy:
         return self.listed and self.rows is None
 
 
-def heavy_keys(df: DataFrame, keys: list[str], budget: int = TASK_ROWS) -> Heavy:
-    """Keys with more rows than the budget. The driver sees at most HEAVY_LIST_MAX keys."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    over = counts.where(F.col("_n") > budget).select(*keys)
+def heavy_keys(
+    df: DataFrame, keys: list[str], budget: int = TASK_ROWS, weight: Column | None = None, most_weight: int = 0
+) -> Heavy:
+    """Keys with more rows than the budget, or more weight in all than `most_weight`.
+
+    The driver sees at most HEAVY_LIST_MAX keys.
+    """
+    weights = F.lit(0) if weight is None else F.coalesce(F.sum(weight), F.lit(0))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), weights.alias("_w"))
+    over = counts.where((F.col("_n") > budget) | (F.col("_w") > most_weight)).select(*keys)
     found = over.limit(HEAVY_LIST_MAX + 1).collect()
     if not found:
         return Heavy(None, True)
@@ -63,16 +69,16 @@ def split_heavy(df: DataFrame, keys: list[str], heavy: Heavy) -> tuple[DataFrame
     return df.join(hot, condition, "left_anti"), df.join(hot, condition, "left_semi")
 
 
-def ordered_chunks(df: DataFrame, order: list[str]) -> DataFrame:
+def ordered_chunks(df: DataFrame, order: list[str], bits: int | None = None) -> DataFrame:
     """Global order without a global task: adds `_rank` (increasing) and its `_chunk`.
 
-    `order` must be a total order. Chunks hold at most 2**CHUNK_BITS rows and never span two
+    `order` must be a total order. Chunks hold at most 2**bits rows and never span two
     partitions, because the partition number sits in the high bits of the rank.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     ranked = placed.withColumn("_rank", F.monotonically_increasing_id())
-    return ranked.withColumn("_chunk", F.shiftright("_rank", CHUNK_BITS))
+    return ranked.withColumn("_chunk", F.shiftright("_rank", CHUNK_BITS if bits is None else bits))
 
 
 def ordinal(df: DataFrame, order: list[str], name: str = "ordinal") -> tuple[DataFrame, int]:

@@ -1,8 +1,9 @@
 """Case timelines: ordered event text per case.
 
-A case normally gives one row. A case with more than `part_rows` notes gives several, numbered by
-`parte`: joining their texts in that order with the separator is the whole timeline. No task and no
-row ever holds more than a part.
+A case is one row, unless its text exceeds `part_bytes`: no cell could hold the text of a case of any
+size. Such a case comes as `partes` rows numbered by `parte`, each with the counts of the whole case
+and, in `piezas_antes`, the number of pieces in its earlier parts; joining the parts in order with the
+separator is the whole timeline. Requests, pieces and audits of the parts are those of one case again.
 """
 
 from __future__ import annotations
@@ -14,9 +15,14 @@ from caselog.functions import dates as dt
 from caselog.functions import text as tx
 from caselog.operators import notes as nt
 from caselog.operators import skew
+from caselog.session import cut_lineage
 
 SEPARATOR = " | "
-PART_ROWS = 50_000
+#: Text of a part; a part may exceed it by one chunk of 2**TEXT_CHUNK_BITS events.
+PART_BYTES = 1 << 26
+#: Above so many events a case is put in order chunk by chunk instead of by one task.
+TASK_EVENTS = 50_000
+TEXT_CHUNK_BITS = 10
 CASE_KEY = ["numero_siniestro", "placa"]
 DESCRIPTORS = ["nit_taller", "nombre_taller", "numero_aviso", "usuario", "rol_analista"]
 
@@ -27,41 +33,80 @@ def _joined(order: list[str], text: str, separator: str) -> Column:
     return F.array_join(F.transform(F.sort_array(items), lambda e: e[text]), separator)
 
 
+def big_cases(events: DataFrame, keys: list[str], text: str, part_bytes: int) -> skew.Heavy:
+    """Keys with too many events for one task or too much text for one part."""
+    return skew.heavy_keys(events, keys, TASK_EVENTS, F.octet_length(text), part_bytes)
+
+
 def timeline_parts(
     events: DataFrame,
     keys: list[str],
     order: list[str],
     text: str = "evento",
     separator: str = SEPARATOR,
-    part_rows: int = PART_ROWS,
+    part_bytes: int = PART_BYTES,
     heavy: skew.Heavy | None = None,
 ) -> DataFrame:
-    """keys, parte, filas (rows of the part), eventos (non-null texts), texto."""
+    """keys, parte, partes, piezas_antes, total (non-null texts of the key), texto.
+
+    Texts of big keys are joined per chunk of the order and attached to their part by (key, chunk);
+    windows over a key see one slim row per chunk. A part without any text only stands for a key
+    without any.
+    """
     slim = events.select(*keys, *order, text)
-    heavy = heavy or skew.heavy_keys(slim, keys, part_rows)
+    heavy = heavy or big_cases(slim, keys, text, part_bytes)
     normal, hot = skew.split_heavy(slim, keys, heavy)
-    sizes = [F.count(F.lit(1)).alias("filas"), F.count(text).alias("eventos")]
     result = None
     if normal is not None:
-        whole = normal.groupBy(*keys).agg(*sizes, _joined(order, text, separator).alias("texto"))
-        result = whole.select(*keys, F.lit(0).cast("long").alias("parte"), "filas", "eventos", "texto")
+        whole = normal.groupBy(*keys).agg(F.count(text).alias("total"), _joined(order, text, separator).alias("texto"))
+        one = [F.lit(n).cast("long").alias(c) for c, n in (("parte", 0), ("partes", 1), ("piezas_antes", 0))]
+        result = whole.select(*keys, *one, "total", "texto")
     if hot is not None:
-        ranked = skew.ordered_chunks(hot, keys + order)
-        chunks = ranked.groupBy(*keys, "_chunk").agg(
-            *sizes, _joined(["_rank"], text, separator).alias("texto")
+        ranked = skew.ordered_chunks(hot, keys + order, TEXT_CHUNK_BITS)
+        chunks = cut_lineage(
+            ranked.groupBy(*keys, "_chunk").agg(
+                F.count(text).alias("_events"),
+                F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("_bytes"),
+                _joined(["_rank"], text, separator).alias("texto"),
+            )
         )
-        before = F.sum("filas").over(Window.partitionBy(*keys).orderBy("_chunk")) - F.col("filas")
-        placed = chunks.withColumn("parte", F.floor(before / F.lit(part_rows)))
-        placed = placed.withColumn("texto", F.when(F.col("eventos") > 0, F.col("texto")))
-        parts = placed.groupBy(*keys, "parte").agg(
-            F.sum("filas").alias("filas"),
-            F.sum("eventos").alias("eventos"),
+        pieces = F.when(F.col("_events") > 0, F.size(F.split("texto", r"\|"))).otherwise(F.lit(0)).alias("_pieces")
+        placed = _parts_of(chunks.select(*keys, "_chunk", "_events", "_bytes", pieces), keys, part_bytes)
+        named = placed.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_chunk").alias("_at"), *PART_COLUMNS)
+        same = F.col("_chunk") == F.col("_at")
+        for key in keys:
+            same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+        parts = chunks.join(named, same).groupBy(*keys, "parte").agg(
+            F.first("partes").alias("partes"),
+            F.min("piezas_antes").alias("piezas_antes"),
+            F.first("total").alias("total"),
             _joined(["_chunk"], "texto", separator).alias("texto"),
         )
         result = parts if result is None else result.unionByName(parts)
     return result
 
 
+PART_COLUMNS = ["parte", "partes", "piezas_antes", "total"]
+
+
+def _parts_of(chunks: DataFrame, keys: list[str], part_bytes: int) -> DataFrame:
+    """The part of each chunk that has text, or of one chunk of a key that has none."""
+    key = Window.partitionBy(*keys)
+    along = key.orderBy("_chunk")
+    before = F.sum("_bytes").over(along) - F.col("_bytes")
+    counted = chunks.withColumns(
+        {
+            "total": F.sum("_events").over(key),
+            "piezas_antes": F.sum("_pieces").over(along) - F.col("_pieces"),
+            "_step": F.floor(before / F.lit(part_bytes)),
+            "_number": F.row_number().over(along),
+        }
+    )
+    kept = counted.where((F.col("_events") > 0) | ((F.col("total") == 0) & (F.col("_number") == 1)))
+    numbered = kept.withColumn("parte", (F.dense_rank().over(key.orderBy("_step")) - 1).cast("long"))
+    return numbered.withColumn("partes", F.max("parte").over(key) + 1)
+
+
 def note_events(notes: DataFrame, ordinal: str) -> DataFrame:
     """Canonical, cleaned notes with their event text; `ordinal` breaks ties of date."""
     return nt.event_columns(nt.clean_cells(nt.canonical_columns(notes, keep=[ordinal])))
@@ -71,12 +116,12 @@ def unify_cases(
     notes: DataFrame,
     ordinal: str,
     separator: str = SEPARATOR,
-    part_rows: int = PART_ROWS,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """One row per case (per part of a giant case) with first descriptors, counts and timeline."""
+    """One row per case, or per part of its text, with first descriptors, counts and timeline."""
     events = note_events(notes, ordinal)
     order = ["fecha_dt", "fecha_obs_norm", ordinal]
-    heavy = skew.heavy_keys(events, CASE_KEY, part_rows)
+    heavy = big_cases(events, CASE_KEY, "evento", part_bytes)
     first = F.min(F.struct(*order, *DESCRIPTORS)).alias("_first")
     counts = [
         F.count(F.lit(1)).alias("total_eventos"),
@@ -88,7 +133,7 @@ def unify_cases(
         *[F.col(f"_first.{c}").alias(c) for c in DESCRIPTORS[3:]],
         "total_eventos",
         "eventos_no_vacios",
-        "parte",
+        *PART_COLUMNS[:3],
         F.col("texto").alias("observaciones_unidas"),
     ]
     normal, hot = skew.split_heavy(events, CASE_KEY, heavy)
@@ -97,12 +142,14 @@ def unify_cases(
         cases = normal.groupBy(*CASE_KEY).agg(
             first, *counts, _joined(order, "evento", separator).alias("texto")
         )
-        result = cases.withColumn("parte", F.lit(0).cast("long")).select(*shape)
+        one = {c: F.lit(n).cast("long") for c, n in zip(PART_COLUMNS[:3], (0, 1, 0))}
+        result = cases.withColumns(one).select(*shape)
     if hot is not None:
         heads = hot.groupBy(*CASE_KEY).agg(first, *counts)
         everything_hot = skew.Heavy(None, False)
-        parts = timeline_parts(hot, CASE_KEY, order, "evento", separator, part_rows, everything_hot)
-        giant = parts.drop("eventos").join(heads, CASE_KEY).select(*shape)
+        parts = timeline_parts(hot, CASE_KEY, order, "evento", separator, part_bytes, everything_hot)
+        few = F.broadcast(heads) if heavy.listed else heads
+        giant = parts.join(few, CASE_KEY).select(*shape)
         result = giant if result is None else result.unionByName(giant)
     return result
 
@@ -140,9 +187,9 @@ def linked_timelines(
     notes: DataFrame,
     ordinal: str,
     parsed_dates: bool = True,
-    part_rows: int = PART_ROWS,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """Timeline of every key some note chose: tipo, clave, notas (choosers), total, parte, texto.
+    """Timeline of every key some note chose: tipo, clave, notas (choosers), total, parte, partes, texto.
 
     The timeline of a key gathers all notes carrying it, not only those that chose it. Notes find
     their timeline through `case_links`; the text is stored once per key, never once per note.
@@ -159,11 +206,9 @@ def linked_timelines(
     members = pieces.select("fecha", ordinal, "evento", F.explode("_all").alias("_k"))
     members = members.select("_k.*", "fecha", ordinal, "evento").where(F.col("clave").isNotNull())
     key = ["tipo", "clave"]
-    parts = timeline_parts(_worth_gathering(members, chosen, key), key, ["fecha", ordinal], part_rows=part_rows)
-    total = F.sum("eventos").over(Window.partitionBy(*key))
-    return parts.withColumn("total", total).join(chosen, key).select(
-        *key, "notas", "total", "parte", "texto"
-    )
+    wanted = _worth_gathering(members, chosen, key)
+    parts = timeline_parts(wanted, key, ["fecha", ordinal], part_bytes=part_bytes)
+    return parts.join(chosen, key).select(*key, "notas", "total", "parte", "partes", "texto")
 
 
 def _worth_gathering(members: DataFrame, chosen: DataFrame, key: list[str]) -> DataFrame:
@@ -181,11 +226,13 @@ def _worth_gathering(members: DataFrame, chosen: DataFrame, key: list[str]) -> D
 
 
 def split_pieces(cases: DataFrame, keys: list[str], joined: str) -> DataFrame:
-    """Pieces of a bar-separated timeline: pos, fecha (or desconocida), texto and dia.
+    """Pieces of a bar-separated timeline: pos (counted on over parts), fecha (or desconocida), texto, dia.
 
     Splitting reads one row at a time; order by `dia` where a consumer needs the pieces in order.
     """
-    pieces = cases.select(*keys, F.posexplode(F.split(joined, r"\|")).alias("pos", "_piece"))
+    before = F.col("piezas_antes") if "piezas_antes" in cases.columns else F.lit(0)
+    pieces = cases.select(*keys, before.alias("_before"), F.posexplode(F.split(joined, r"\|")).alias("_at", "_piece"))
+    pieces = pieces.withColumn("pos", F.col("_before") + F.col("_at"))
     pieces = pieces.select(*keys, "pos", tx.strip_blank(F.col("_piece")).alias("texto")).where("texto <> ''")
     found = F.nullif(F.regexp_extract("texto", r"^\d{4}-\d{2}-\d{2}", 0), F.lit(""))
     return pieces.withColumns(

@@ -241,7 +241,7 @@ def _linked_sql(date: str) -> str:
         "SELECT 'siniestro', s, fecha, ord, nota FROM pieces WHERE s IS NOT NULL UNION ALL "
         "SELECT 'placa', p, fecha, ord, nota FROM pieces WHERE p IS NOT NULL UNION ALL "
         "SELECT 'fila', clave, fecha, ord, nota FROM pieces WHERE tipo = 'fila') "
-        "SELECT c.tipo, c.clave, c.notas, CAST(count(*) FILTER (nota <> '') AS BIGINT) AS total, CAST(0 AS BIGINT) AS parte, "
+        "SELECT c.tipo, c.clave, c.notas, CAST(count(*) FILTER (nota <> '') AS BIGINT) AS total, CAST(0 AS BIGINT) AS parte, CAST(1 AS BIGINT) AS partes, "
         "coalesce(string_agg(trim(fecha || ' - ' || nota, ' -'), ' | ' ORDER BY fecha, ord) FILTER (nota <> ''), '') AS texto "
         "FROM members m JOIN chosen c ON m.tipo = c.tipo AND m.clave = c.clave GROUP BY c.tipo, c.clave, c.notas"
     )
@@ -331,6 +331,9 @@ def prompt_selection(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("aviso", F.when(F.col("system").isNull(), F.lit("prompt no encontrado")))
 
 
+BLANKED_STRETCH = "CASE WHEN caso % 3 = 0 OR event_stretch THEN ' ' ELSE observacion END".replace(
+    "event_stretch", "ord % 4000 > 1500"
+)
 BLANKED = "CASE WHEN caso % 3 = 0 THEN ' ' ELSE observacion END"
 
 
@@ -359,14 +362,16 @@ def empty_case_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "unified_cases_in_parts",
-    f"WITH {sb.CASES_CTE} SELECT numero_siniestro, placa, nit_taller, total_eventos, eventos_no_vacios, observaciones_unidas FROM cases",
+    f"WITH n0 AS ({NOTES_SQL}), "
+    + sb.CASES_CTE.replace(f"notes AS ({NOTES_SQL})", f"notes AS (SELECT * REPLACE ({BLANKED_STRETCH} AS observacion) FROM n0)")
+    + ", p AS (SELECT numero_siniestro, placa, total_eventos, eventos_no_vacios, unnest(string_split(observaciones_unidas, '|')) AS pieza, "
+    "generate_subscripts(string_split(observaciones_unidas, '|'), 1) - 1 AS pos FROM cases) "
+    "SELECT numero_siniestro, placa, total_eventos, eventos_no_vacios, CAST(pos AS BIGINT) AS pos, "
+    f"{sb.strip('pieza')} AS texto FROM p WHERE {sb.strip('pieza')} <> ''",
 )
 def unified_cases_in_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """Every case treated as giant: its parts, joined in order, are the whole timeline."""
-    parts = tl.unify_cases(notes(spark, folder), "ord", part_rows=16).where(
-        "observaciones_unidas <> '' OR eventos_no_vacios = 0"
-    )
-    case = ["numero_siniestro", "placa", "nit_taller", "total_eventos", "eventos_no_vacios"]
-    ordered = F.sort_array(F.collect_list(F.struct("parte", "observaciones_unidas")))
-    joined = F.array_join(F.transform(ordered, lambda p: p["observaciones_unidas"]), tl.SEPARATOR)
-    return parts.groupBy(*case).agg(joined.alias("observaciones_unidas"))
+    """Every case cut into parts of a few events, with long stretches of blank notes: its pieces, counted through."""
+    blank = notes(spark, folder).withColumn("observacion", F.expr(BLANKED_STRETCH))
+    parts = tl.unify_cases(blank, "ord", part_bytes=100)
+    case = [*tl.CASE_KEY, "total_eventos", "eventos_no_vacios"]
+    return tl.split_pieces(parts, case, "observaciones_unidas").select(*case, "pos", "texto")

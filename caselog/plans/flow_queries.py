@@ -59,6 +59,29 @@ def audited_cases(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+class SeenClient:
+    """Says of every part that it was seen."""
+
+    def __call__(self, messages: list[tuple[str, str]], attempt: int) -> str:
+        return '{"visto":1,"ultima":%d}' % messages[1][1].count("</ENTRADA>")
+
+
+@query(
+    "audited_cases_in_parts",
+    f"WITH n0 AS ({NOTES_SQL}), "
+    + sb.CASES_CTE.replace(f"notes AS ({NOTES_SQL})", f"notes AS (SELECT * REPLACE ({BLANKED} AS observacion) FROM n0)")
+    + " SELECT numero_siniestro, placa, CASE WHEN eventos_no_vacios > 0 THEN '1' END AS visto, CASE WHEN eventos_no_vacios = 0 THEN 'sin datos' END AS resumen, "
+    "CASE WHEN eventos_no_vacios = 0 THEN '0' ELSE CAST(total_eventos AS VARCHAR) END AS total FROM cases",
+)
+def audited_cases_in_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """One audit per case, however many parts its text is asked in."""
+    source = notes(spark, folder).withColumn("observacion", F.expr(BLANKED))
+    cases = tl.unify_cases(source, "ord", part_bytes=100)
+    done = flows.audit_cases(cases, _prompts(spark), "v4", SeenClient(), shared_path(spark, "part-answers"), **NO_WAIT)
+    at = lambda key, name: F.try_element_at("resultado", F.lit(key)).alias(name)
+    return done.select("numero_siniestro", "placa", at("visto", "visto"), at("resumen_general", "resumen"), at("total_eventos", "total"))
+
+
 class NoteClient:
     def __call__(self, messages: list[tuple[str, str]], attempt: int) -> str:
         size = len(messages[1][1])

@@ -51,9 +51,10 @@ def audit_cases(
     protected: list[str] = (),
     **options: Any,
 ) -> DataFrame:
-    """Cases with `resultado`: identity, alert answer and quality answer merged, later ones winning.
+    """One row per case with `resultado`: identity, alert answers and quality answers, later ones winning.
 
-    Both steps get the same text. A step without a readable answer leaves its failure marker; a case
+    Both steps get the same text, in several requests where a case comes in parts; the answers of the
+    parts are merged in order. A step without a readable answer leaves its failure marker; a case
     without note text is not sent.
     """
     human = rq.case_text(cases)
@@ -68,11 +69,21 @@ def audit_cases(
     stored = rq.answer_pending(ready, path, client, prompts, version, **options)
     answered = au.step_answers(an.parse_basic(stored))
     joined = rq.rows_with_answers(texts, answered)
+    layers = F.array(*[F.col(s) for s in au.STEPS])
+    single, several = joined.where("partes = 1"), joined.where("partes > 1")
+    shape = [c for c in cases.columns if c not in ("parte", "piezas_antes", "observaciones_unidas")]
+    one = single.select(*shape, "observaciones_unidas", "request_id", layers.alias("_layers"))
+    in_order = F.sort_array(F.collect_list(F.struct("parte", F.to_json(layers, {"ignoreNullFields": "false"}).alias("layers"))))
+    many = several.groupBy(*shape).agg(in_order.alias("_parts"), F.first("request_id").alias("request_id"))
+    read = F.transform("_parts", lambda p: F.from_json(p["layers"], "array<map<string,string>>"))
+    many = many.select(
+        *shape, F.lit(None).cast("string").alias("observaciones_unidas"), "request_id", F.flatten(read).alias("_layers")
+    )
     identity = {c: F.col(c).cast("string") for c in rq.CASE_FIELDS}
     base = F.create_map(*[part for name, value in identity.items() for part in (F.lit(name), value)])
-    merged = au.merge_answers(base, [F.col(s) for s in au.STEPS], protected)
     nothing = {c: v for c, v in identity.items() if c not in ("total_eventos", "observaciones_unidas")}
     nothing |= {"resumen_general": F.lit(EMPTY_CASE), "total_eventos": F.lit("0")}
     empty = F.create_map(*[part for name, value in nothing.items() for part in (F.lit(name), value)])
+    merged = au.merge_all(base, F.col("_layers"), protected)
     result = F.when(F.col("request_id").isNull(), empty).otherwise(merged)
-    return joined.select(*cases.columns, result.alias("resultado"))
+    return one.unionByName(many).select(*shape, "observaciones_unidas", result.alias("resultado"))

@@ -26,7 +26,7 @@ def _profile(spark: SparkSession, folder: str) -> DataFrame:
     "timeline_pieces",
     f"WITH {sb.CASES_CTE}, p AS (SELECT numero_siniestro, placa, unnest(string_split(observaciones_unidas, '|')) AS pieza, "
     "generate_subscripts(string_split(observaciones_unidas, '|'), 1) - 1 AS pos FROM cases) "
-    "SELECT numero_siniestro, placa, CAST(pos AS INTEGER) AS pos, "
+    "SELECT numero_siniestro, placa, CAST(pos AS BIGINT) AS pos, "
     "coalesce(nullif(regexp_extract(trim(pieza), '^\\d{4}-\\d{2}-\\d{2}'), ''), 'desconocida') AS fecha, "
     f"{sb.strip('pieza')} AS texto FROM p WHERE {sb.strip('pieza')} <> ''",
 )

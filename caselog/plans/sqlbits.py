@@ -60,6 +60,6 @@ CASES_CTE = (
     "cases AS (SELECT max(nit_taller) FILTER (pos = 1) AS nit_taller, max(nombre_taller) FILTER (pos = 1) AS nombre_taller, "
     "max(numero_aviso) FILTER (pos = 1) AS numero_aviso, numero_siniestro, placa, max(usuario) FILTER (pos = 1) AS usuario, "
     "max(rol_analista) FILTER (pos = 1) AS rol_analista, count(*) AS total_eventos, count(evento) AS eventos_no_vacios, "
-    "CAST(0 AS BIGINT) AS parte, coalesce(string_agg(evento, ' | ' ORDER BY pos), '') AS observaciones_unidas "
+    "CAST(0 AS BIGINT) AS parte, CAST(1 AS BIGINT) AS partes, CAST(0 AS BIGINT) AS piezas_antes, coalesce(string_agg(evento, ' | ' ORDER BY pos), '') AS observaciones_unidas "
     "FROM ranked GROUP BY numero_siniestro, placa)"
 )

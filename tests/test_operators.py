@@ -49,15 +49,28 @@ def test_lookup_joins_hot_and_null_keys(spark):
     assert rows(skew.lookup(left, right, ["k"], budget=50)) == rows(left.join(right, "k", "left"))
 
 
-def test_timeline_parts_join_to_the_whole(spark):
-    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 40 AS STRING) END AS k", "id", "CASE WHEN id % 5 > 0 THEN concat('e', id) END AS evento")
-    whole = {r.k: (r.texto, r.eventos) for r in tl.timeline_parts(df, ["k"], ["id"]).collect()}
-    parts = tl.timeline_parts(df, ["k"], ["id"], part_rows=100).orderBy("k", "parte").collect()
-    assert len(parts) > len(whole)
-    for key, (text, events) in whole.items():
+def test_timeline_parts_join_to_the_whole(spark, monkeypatch):
+    monkeypatch.setattr(tl, "TEXT_CHUNK_BITS", 3)
+    text = "CASE WHEN id % 5 > 0 AND id % 40 <> 7 AND NOT id BETWEEN 900 AND 2000 THEN concat('e', id) END AS evento"
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 40 AS STRING) END AS k", "id", text)
+    whole = {r.k: (r.texto, r.total) for r in tl.timeline_parts(df, ["k"], ["id"]).collect()}
+    parts = tl.timeline_parts(df, ["k"], ["id"], part_bytes=100).orderBy("k", "parte").collect()
+    assert len(parts) > 2 * len(whole) == 2 * len({p.k for p in parts})
+    for key, (text, total) in whole.items():
         mine = [p for p in parts if p.k == key]
-        assert " | ".join(p.texto for p in mine if p.texto) == text
-        assert sum(p.eventos for p in mine) == events
+        assert [p.parte for p in mine] == list(range(mine[0].partes)) and {p.total for p in mine} == {total}
+        assert " | ".join(p.texto for p in mine) == text
+        assert len(mine) == 1 or all(p.texto for p in mine)
+        pieces = 0
+        for p in mine:
+            assert p.piezas_antes == pieces
+            pieces += len(p.texto.split("|"))
+
+
+def test_no_window_of_a_timeline_holds_text(spark, folder):
+    cases = tl.unify_cases(notes(spark, folder), "ord", part_bytes=100)
+    plan = cases._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan or all("evento" not in line for line in plan.splitlines() if "Window" in line)
 
 
 def test_shards_partition_rows_exactly(spark):
