@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caselog.functions import dates as dt
 from caselog.functions import numbers as nb
@@ -200,28 +201,61 @@ def _types_of(text: DataFrame, names: list[str], start: int) -> DataFrame:
     return row.select(F.explode(items).alias("t")).select("t.*")
 
 
+def _typed(raw: Column, kind: str) -> Column:
+    """The cell as its column's type; null where it does not fit."""
+    value = F.nullif(tx.strip_blank(raw), F.lit(""))
+    digits = F.replace(value, F.lit("_"), F.lit(""))
+    return {
+        "INTEGER": digits.try_cast("int"),
+        "BIGINT": digits.try_cast("long"),
+        "DOUBLE PRECISION": digits.try_cast("double"),
+        "BOOLEAN": F.when(value.rlike(TRUTH), value.rlike(r"(?i)^(true|t|yes|y|1)$")),
+        "DATE": dt.parse_first(value, dt.FORMATS["column_date"]).cast("date"),
+        "TIME": value,
+        "TIMESTAMP": F.coalesce(dt.parse_first(value, dt.FORMATS["column_timestamp"]), value.try_cast("timestamp")),
+    }.get(kind, raw)
+
+
 def apply_types(df: DataFrame, types: DataFrame) -> DataFrame:
     """Typed columns under their clean names. The type table has one row per column."""
     found = {r["posicion"]: (r["columna"], r["tipo"]) for r in types.collect()}
-    columns = []
-    for i in range(len(df.columns)):
-        name, kind = found[i]
-        raw = F.col(name).cast("string")
-        value = F.nullif(tx.strip_blank(raw), F.lit(""))
-        digits = F.replace(value, F.lit("_"), F.lit(""))
-        typed = {
-            "INTEGER": digits.try_cast("int"),
-            "BIGINT": digits.try_cast("long"),
-            "DOUBLE PRECISION": digits.try_cast("double"),
-            "BOOLEAN": value.rlike(r"(?i)^(true|t|yes|y|1)$"),
-            "DATE": dt.parse_first(value, dt.FORMATS["column_date"]).cast("date"),
-            "TIME": value,
-            "TIMESTAMP": F.coalesce(
-                dt.parse_first(value, dt.FORMATS["column_timestamp"]), value.try_cast("timestamp")
-            ),
-        }.get(kind, raw)
-        columns.append(typed.alias(name))
-    return df.toDF(*[found[i][0] for i in range(len(df.columns))]).select(*columns)
+    named = [found[i] for i in range(len(df.columns))]
+    text = df.toDF(*[name for name, _kind in named])
+    return text.select(*[_typed(F.col(name).cast("string"), kind).alias(name) for name, kind in named])
+
+
+STORED_KINDS = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE PRECISION",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+    "string": "TEXT",
+}
+
+
+def fit_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows in a stored table's columns and types, with `motivo`: the first column that does not fit.
+
+    Columns are matched by their clean names; one the table has and the rows lack is null. Rows keep
+    their given text in `_texto` for the rejected table.
+    """
+    names = clean_names(df.columns)
+    unknown = [n for n in names if n not in schema.fieldNames()]
+    if unknown:
+        raise ValueError(f"the table has no columns {unknown}")
+    text = df.toDF(*names).select(*[F.col(n).cast("string").alias(n) for n in names])
+    values, misfits = [], []
+    for field in schema.fields:
+        kind = field.dataType.simpleString()
+        if field.name not in names:
+            values.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        typed = _typed(F.col(field.name), STORED_KINDS[kind])
+        values.append(typed.alias(field.name))
+        misfits.append(F.when(~tx.is_blank(F.col(field.name)) & typed.isNull(), F.lit(field.name)))
+    return text.select(*values, F.coalesce(*misfits).alias("motivo"), F.to_json(F.struct(*names)).alias("_texto"))
 
 
 def last_arrivals(source: DataFrame, key: list[str], arrival: str) -> DataFrame:

@@ -160,14 +160,26 @@ def count_pieces(joined: Column) -> Column:
     return F.size(F.filter(pieces, lambda p: ~tx.is_blank(p)))
 
 
-def case_links(notes: DataFrame, ordinal: str) -> DataFrame:
-    """Each note with the key that names its case: aviso, else siniestro, else placa, else itself."""
+#: The number 0 as text.
+ZERO = r"^[+-]?0+([.]0*)?$"
+
+
+def _key_of(cell: Column, skip_zero: bool) -> Column:
+    key = tx.null_if_blank(tx.first_of_list(cell))
+    return F.when(~key.rlike(ZERO), key) if skip_zero else key
+
+
+def case_links(notes: DataFrame, ordinal: str, skip_zero: bool = False) -> DataFrame:
+    """Each note with the key that names its case: aviso, else siniestro, else placa, else itself.
+
+    With `skip_zero` the number 0 names no case, as in sources where it stands for a missing number.
+    """
     named = {"aviso": "numero_aviso", "siniestro": "numero_siniestro", "placa": "placa"}
     read = notes.select(
         ordinal,
         "fecha_observacion",
         "observacion",
-        *[tx.null_if_blank(tx.first_of_list(F.col(c))).alias(f"_{kind}") for kind, c in named.items()],
+        *[_key_of(F.col(c), skip_zero).alias(f"_{kind}") for kind, c in named.items()],
     )
     kind = F.coalesce(*[F.when(F.col(f"_{k}").isNotNull(), F.lit(k)) for k in named], F.lit("fila"))
     key = F.coalesce(*[F.col(f"_{k}") for k in named], F.col(ordinal).cast("string"))

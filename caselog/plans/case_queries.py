@@ -232,6 +232,21 @@ def case_links(spark: SparkSession, folder: str) -> DataFrame:
     return tl.case_links(notes(spark, folder), "ord").select("ord", "tipo", "clave")
 
 
+_ZEROED = "CASE WHEN ord % 4 = 0 THEN '0' WHEN ord % 4 = 1 THEN ' 0.0 ' ELSE numero_aviso END"
+
+
+@query(
+    "case_links_without_zero",
+    f"WITH n0 AS ({NOTES_SQL}), "
+    + _LINKS_CTE.replace(f"n AS ({NOTES_SQL})", f"n AS (SELECT * REPLACE (CASE WHEN ord % 4 < 2 THEN '' ELSE numero_aviso END AS numero_aviso, "
+    "CASE WHEN trim(numero_siniestro) = '0' THEN NULL ELSE numero_siniestro END AS numero_siniestro) FROM n0)")
+    + " SELECT ord, tipo, clave FROM links",
+)
+def case_links_without_zero(spark: SparkSession, folder: str) -> DataFrame:
+    zeroed = notes(spark, folder).withColumn("numero_aviso", F.expr(_ZEROED))
+    return tl.case_links(zeroed, "ord", skip_zero=True).select("ord", "tipo", "clave")
+
+
 def _linked_sql(date: str) -> str:
     note = sb.squeeze_strip("replace(coalesce(observacion, ''), '|', ' / ')")
     return (

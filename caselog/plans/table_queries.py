@@ -45,6 +45,31 @@ def note_csv_source(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "note_csv_mixed_headers",
+    "SELECT ord, nombre_taller, CASE WHEN ord % 3 < 2 THEN placa END AS placa, CASE WHEN ord % 3 = 2 THEN usuario END AS usuario "
+    f"FROM ({NOTES_SQL})",
+)
+def note_csv_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of files whose columns come in other orders, or that lack one."""
+    path = shared_path(spark, "notes-mixed")
+    rows = notes(spark, folder).selectExpr(
+        "CAST(ord AS STRING) AS ord", "nombre_taller AS `NOMBRE TALLER`", "placa AS PLACA", "usuario AS USUARIO", "ord % 3 AS parte"
+    )
+    orders = (["ord", "NOMBRE TALLER", "PLACA"], ["PLACA", "ord", "NOMBRE TALLER"], ["USUARIO", "NOMBRE TALLER", "ord"])
+    for number, columns in enumerate(orders):
+        part = rows.where(F.col("parte") == number).select(*columns)
+        options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        part.write.mode("append").options(**options).csv(path)
+    read = readers.read_note_csv(spark, path)
+    return read.select(
+        F.col("ord").cast("long").alias("ord"),
+        F.col("NOMBRE TALLER").alias("nombre_taller"),
+        F.col("PLACA").alias("placa"),
+        F.col("USUARIO").alias("usuario"),
+    )
+
+
 _ENVELOPE = T.StructType(
     [T.StructField("ord", T.LongType()), T.StructField("observacion", T.StringType()), T.StructField("k", T.LongType())]
 )
@@ -130,6 +155,25 @@ def typed_load(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "typed_append",
+    "SELECT l_orderkey::VARCHAR AS clave, l_linenumber::VARCHAR AS linea, NULL AS motivo FROM lineitem UNION ALL "
+    "SELECT (-l_orderkey)::VARCHAR, CASE WHEN l_linenumber > 2 THEN l_linenumber::VARCHAR END, NULL FROM lineitem WHERE l_linenumber <> 1 UNION ALL "
+    "SELECT (-l_orderkey)::VARCHAR, 'x' || l_linenumber, 'linea' FROM lineitem WHERE l_linenumber = 1",
+)
+def typed_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows appended to a table of numbers: one line number in several is no number, or blank."""
+    path = shared_path(spark, "appended")
+    lines = spread(table(spark, folder, "lineitem"))
+    writers.load_table(lines.selectExpr("CAST(l_orderkey AS STRING) AS Clave", "CAST(l_linenumber AS STRING) AS Linea"), path)
+    late = "CASE WHEN l_linenumber = 1 THEN 'x1' WHEN l_linenumber = 2 THEN ' ' ELSE CAST(l_linenumber AS STRING) END AS LINEA"
+    writers.load_table(lines.selectExpr(late, "CAST(-l_orderkey AS STRING) AS clave"), path)
+    stored = spark.read.parquet(path).selectExpr("CAST(clave AS STRING) AS clave", "CAST(linea AS STRING) AS linea", "CAST(NULL AS STRING) AS motivo")
+    refused = spark.read.schema("motivo string, _texto string").parquet(f"{path}_rechazos")
+    text = lambda name: F.get_json_object("_texto", f"$.{name}").alias(name)
+    return stored.unionByName(refused.select(text("clave"), text("linea"), "motivo"))
+
+
 def _upsert_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Target: every order, and a mirror under negative numbers that no source row touches.
     Source: every order, a quarter of them under new numbers, some sent twice."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,11 +85,34 @@ def table_name(path: str) -> str:
     return tb.clean_name(os.path.splitext(os.path.basename(path.rstrip("/")))[0])
 
 
-def load_table(raw: DataFrame, path: str, if_exists: str = "append") -> DataFrame:
-    """Infer the types of text columns, write the typed table, return the type table."""
-    types = tb.column_types(raw)
-    tb.apply_types(raw, types).write.mode(MODES[if_exists]).parquet(path)
-    return types
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema of a Parquet table, None where there is none yet."""
+    try:
+        return spark.read.parquet(path).schema
+    except AnalysisException as failure:
+        if failure.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def load_table(raw: DataFrame, path: str, if_exists: str = "append", rejected_path: str | None = None) -> DataFrame:
+    """Write text columns as a typed table and return its type table.
+
+    A new table takes the types all its values have. Appending to a table keeps that table's types:
+    rows with a value that does not fit go to `rejected_path` (by default beside the table) with the
+    column's name as `motivo` and their text as `_texto`.
+    """
+    schema = stored_schema(raw.sparkSession, path) if if_exists == "append" else None
+    if schema is None:
+        types = tb.column_types(raw)
+        tb.apply_types(raw, types).write.mode(MODES[if_exists]).parquet(path)
+        return types
+    fitted = tb.fit_to(raw, schema)
+    fits = F.col("motivo").isNull()
+    fitted.where(fits).drop("motivo", "_texto").write.mode("append").parquet(path)
+    fitted.where(~fits).select("motivo", "_texto").write.mode("append").parquet(rejected_path or f"{path}_rechazos")
+    rows = [(i, f.name, tb.STORED_KINDS[f.dataType.simpleString()]) for i, f in enumerate(schema.fields)]
+    return raw.sparkSession.createDataFrame(rows, "posicion int, columna string, tipo string")
 
 
 def write_accepted(typed: DataFrame, path: str, rejected_path: str, mode: str = "append") -> None:

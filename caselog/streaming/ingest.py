@@ -34,8 +34,16 @@ def stored_schema(record: T.StructType) -> T.StructType:
 
 
 def new_chunks(payloads: DataFrame, taken: DataFrame) -> DataFrame:
-    """Payloads of chunks not taken yet; a chunk sent twice is kept once."""
-    return payloads.dropDuplicates(CHUNK).join(taken.select(*CHUNK), CHUNK, "left_anti")
+    """Payloads of chunks not taken yet, with `conflicto`.
+
+    A chunk sent twice is kept once. Copies that differ are a conflict: the one whose records hash
+    lowest is kept, whatever order they came in, and the ledger says so.
+    """
+    digest = F.xxhash64(F.to_json("registros"))
+    once = payloads.groupBy(*CHUNK).agg(
+        F.min_by("registros", digest).alias("registros"), (F.min(digest) != F.max(digest)).alias("conflicto")
+    )
+    return once.join(taken.select(*CHUNK), CHUNK, "left_anti")
 
 
 def ingest_chunks(
@@ -52,7 +60,7 @@ def ingest_chunks(
     and nothing is kept in streaming state. A batch that is retried overwrites its own folders.
     """
     schema = stored_schema(record)
-    ledger, ledger_schema = f"{table}_chunks", "request_id string, chunk_index long, batch long"
+    ledger, ledger_schema = f"{table}_chunks", "request_id string, chunk_index long, conflicto boolean, batch long"
     spark.createDataFrame([], schema).write.mode("append").partitionBy("batch").parquet(table)
     spark.createDataFrame([], ledger_schema).write.mode("append").partitionBy("batch").parquet(ledger)
 
@@ -62,7 +70,7 @@ def ingest_chunks(
         rows = fresh.select(*CHUNK, F.posexplode("registros").alias("pos", "r")).select(*CHUNK, "pos", "r.*")
         rows = transform(rows) if transform else rows
         rows.write.mode("overwrite").parquet(f"{table}/batch={number}")
-        fresh.select(*CHUNK).write.mode("overwrite").parquet(f"{ledger}/batch={number}")
+        fresh.select(*CHUNK, "conflicto").write.mode("overwrite").parquet(f"{ledger}/batch={number}")
 
     stream = spark.readStream.schema(payload_schema(record)).json(inbox)
     query = (
