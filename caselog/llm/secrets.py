@@ -8,7 +8,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,20 +137,26 @@ def scan_secrets(docs: DataFrame, text: str = "text", redacted: bool = False) ->
     repeated results and nothing is shuffled.
     """
     key = extra_name(docs, "_scanned")
-    fields = "n_assign long, n_access long, n_hex long, n_entropy long, base_spans string, spans string, redacted string"
-
-    @F.pandas_udf(fields)
-    def scan(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for value in texts:
+    counted = ["n_assign", "n_access", "n_hex", "n_entropy"]
+    written = ["base_spans", "spans", "redacted"]
+
+    @F.arrow_udf(", ".join([*(f"{n} long" for n in counted), *(f"{n} string" for n in written)]))
+    def scan(texts: pa.Array) -> pa.Array:
+        columns = [[] for _ in (*counted, *written)]
+        for text in texts:
+            value = text.as_py()
             base, spans = secret_spans(value)
             counts = [sum(s[1] == k for s in spans) for k in range(4)]
             new = redact(value, spans) if redacted and spans else None
-            rows.append((*counts, _joined(base), _joined(spans), new))
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in fields.split(", ")])
+            for column, item in zip(columns, (*counts, _joined(base), _joined(spans), new)):
+                column.append(item)
+        kinds = [pa.int64()] * len(counted) + [pa.string()] * len(written)
+        return pa.StructArray.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=[*counted, *written]
+        )
 
     found = docs.withColumn(key, scan(whole_text(text)))
-    names = ["n_assign", "n_access", "n_hex", "n_entropy", "base_spans", "spans"]
+    names = [*counted, "base_spans", "spans"]
     if redacted:
         found = found.withColumn(text, F.coalesce(F.col(f"{key}.redacted"), F.col(text)))
     return found.withColumns({n: F.col(f"{key}.{n}") for n in names}).drop(key)
