@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,9 +125,9 @@ def fit_profiles(
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            langs, texts = batch.column(0).to_pylist(), batch.column(1)
             for language in dict.fromkeys(langs):
-                found = [gram_counts(t) for x, t in zip(langs, texts) if x == language]
+                found = [gram_counts(t.as_py()) for x, t in zip(langs, texts) if x == language]
                 code, place = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
                 total = np.bincount(place, np.concatenate([f[1] for f in found])).astype(np.int64)
                 names = pa.array([language] * len(code), pa.string())
@@ -146,11 +145,13 @@ def fit_profiles(
 def predict(profiles: dict[str, list[int]], text: str = "text", size: int = PROFILE) -> Column:
     """struct(lang_pred, score) of the whole text; `und` for a null text or one without a letter."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = Profiles(profiles, size)
         for texts in batches:
-            yield pd.DataFrame([model.judge(t) for t in texts], columns=["lang_pred", "score"])
+            found = [model.judge(t.as_py()) for t in texts]
+            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.StructArray.from_arrays(columns, names=["lang_pred", "score"])
 
     return judge(whole_text(text))
 
