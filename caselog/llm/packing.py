@@ -18,7 +18,7 @@ from caselog.llm.common import per_process, query, table, whole_text
 WINDOW = 2048
 #: A bin is packed when it holds this many ids, which bounds the memory of a task.
 BIN_IDS = 1 << 24
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 600_000
 OUTPUT_IDS = 1 << 20
 
 #: Texts with these go to the tokenizer whole: special tokens, and separators that str.split() drops.
