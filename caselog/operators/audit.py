@@ -197,6 +197,37 @@ def leaves(schema: T.StructType, root: str) -> list[Column]:
     return columns
 
 
+def _as_given(df: DataFrame, numbers: dict[str, Column], texts: dict[str, Column], lists: list[str] = ()) -> DataFrame:
+    read = {name: nb.to_double(value) for name, value in numbers.items()} | texts
+    for key in lists:
+        items = F.when(_kind(key).startswith("ARRAY"), F.from_json(_value(key), "array<string>"))
+        read[key] = F.filter(items, lambda e: e.isNotNull())
+    return js.pinned(df, **read).drop("_kinds")
+
+
+def audit_as_given(parsed: DataFrame) -> DataFrame:
+    """The flat audit answer in its types, neither clamped nor completed: what the contract is checked on."""
+    df = js.with_kinds(parsed, "parsed_text", "_kinds")
+    scores = [f"{p}_score_0a100" for p in SCORE_PARTS] + ["score_final_0a100"]
+    texts = ["resumen_general", "confianza", *[f"{p}_justificacion" for p in SCORE_PARTS]]
+    return _as_given(df, {k: _value(k) for k in scores}, {k: _value(k) for k in texts}, ["evidencias", "observaciones"])
+
+
+def note_as_given(parsed: DataFrame) -> DataFrame:
+    """The note answer in its types, neither clamped nor completed."""
+    df = js.with_kinds(parsed, "parsed_text", "_kinds")
+    numbers = {
+        "confianza": F.coalesce(_value("confianza_clasificacion"), _value("confianza")),
+        "calidad_comunicativa_score": _value("calidad_comunicativa_score"),
+    }
+    texts = {
+        "clasificacion": _value("clasificacion"),
+        "explicacion": F.coalesce(_value("explicacion_clasificacion"), _value("explicacion")),
+        "explicacion_calidad": _value("explicacion_calidad"),
+    }
+    return _as_given(df, numbers, texts)
+
+
 def note_rules() -> dict[str, Column]:
     """Contract of the note answer, each rule true where it holds."""
     return {

@@ -325,50 +325,87 @@ def quality_fields(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_WEIGHTED = "CAST(round_even((30*({a}) + 25*({b}) + 20*({c}) + 15*({d}) + 10*({e})) / 100.0, 0) AS INTEGER)".format(**_SUB)
+# Answers that break every rule for some rows: scores beyond 100, texts of any length, odd words and lists.
+_CONTRACT_NUMBERS = {
+    "line": "CAST(l_linenumber AS INT)",
+    "q": "CAST(l_quantity AS INT)",
+    "a": "CAST(l_partkey % 121 AS INT)",
+    "b": "CAST(l_suppkey % 111 AS INT)",
+    "c": "CAST((l_orderkey * 7) % 105 AS INT)",
+    "d": "CAST((l_linenumber * 17) % 119 AS INT)",
+    "e": "CAST(CAST(l_quantity AS INT) * 2 + 10 AS INT)",
+}
+_CONTRACT_SELECT = ", ".join(f"{e} AS {n}" for n, e in _CONTRACT_NUMBERS.items())
+_CONTRACT_WORDS = {part: f"((q + {at} * 17) % 90 + 1)" for at, part in enumerate(SCORE_PARTS)}
+
+
+def _contract_raw(formula: str) -> str:
+    parts = "".join(
+        f"""'"{part}_score_0a100":' || CAST({letter} AS STRING) || ',"{part}_justificacion":"' || repeat('va ', {_CONTRACT_WORDS[part]}) || '",' || """
+        for part, letter in zip(SCORE_PARTS, "abcde")
+    )
+    return (
+        "'{' || " + parts + "'\"resumen_general\":\"' || repeat('va ', q * 4) || '\",\"score_final_0a100\":' || "
+        f"CAST(CASE WHEN line % 2 = 0 THEN {formula} ELSE a END AS STRING) || ',\"confianza\":\"' || "
+        "CASE line % 3 WHEN 0 THEN 'baja' WHEN 1 THEN 'Alta' ELSE 'media' END || '\",\"observaciones\":[\"Nota/Supuesto: x\",\"' || "
+        "CASE WHEN q % 2 = 0 THEN 'Recomendación: ver' ELSE 'ver' END || '\"],\"evidencias\":[\"' || "
+        "CASE WHEN q % 3 = 0 THEN 'sin fecha' ELSE '2024-01-01: uno' END || '\"]}'"
+    )
+
+
+_CONTRACT_FORMULA = "CAST({round}((30*a + 25*b + 20*c + 15*d + 10*e) / 100.0, 0) AS INT)"
+_DUCK_FORMULA = _CONTRACT_FORMULA.format(round="round_even")
+_CONTRACT_FINAL = f"CASE WHEN line % 2 = 0 THEN {_DUCK_FORMULA} ELSE a END"
 _AUDIT_BREACHES = {
-    **{f"{p}_0_100": "0" for p in SCORE_PARTS},
-    "informatividad_15_80": "count(*) FILTER (shape <> 0)",
-    **{f"{p}_15_80": "count(*)" for p in SCORE_PARTS[1:]},
-    "final_0_100": "0",
-    "final_formula": f"count(*) FILTER (({_FINAL}) <> {_WEIGHTED})",
-    "resumen_palabras": "count(*)",
-    "confianza": "0",
-    "prefijo_nota": "0",
-    "evidencia_con_fecha": "count(*) FILTER (shape IN (0, 2))",
+    **{f"{p}_0_100": f"{x} > 100" for p, x in zip(SCORE_PARTS, "abcde")},
+    **{f"{p}_15_80": f"{n} NOT BETWEEN 15 AND 80" for p, n in _CONTRACT_WORDS.items()},
+    "final_0_100": f"{_CONTRACT_FINAL} > 100",
+    "final_formula": f"{_CONTRACT_FINAL} <> {_DUCK_FORMULA}",
+    "resumen_palabras": "q * 4 NOT BETWEEN 50 AND 150",
+    "confianza": "line % 3 = 1",
+    "prefijo_nota": "q % 2 <> 0",
+    "evidencia_con_fecha": "q % 3 = 0",
 }
 
 
 @query(
     "audit_contract",
     " UNION ALL ".join(
-        f"SELECT '{rule}' AS regla, CAST({breach} AS BIGINT) AS incumplidos, count(*) AS revisados FROM ({AUDITS_SQL})"
+        f"SELECT '{rule}' AS regla, count(*) FILTER ({breach}) AS incumplidos, count(*) AS revisados FROM (SELECT {_CONTRACT_SELECT} FROM lineitem)"
         for rule, breach in _AUDIT_BREACHES.items()
     ),
 )
 def audit_contract(spark: SparkSession, folder: str) -> DataFrame:
-    return au.contract_report(au.sanitize(an.parse_robust(audit_answers(spark, folder))), au.audit_rules())
+    raw = _contract_raw(_CONTRACT_FORMULA.format(round="bround")) + " AS raw"
+    answers = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _CONTRACT_NUMBERS.items()])
+    return au.contract_report(au.audit_as_given(an.parse_robust(answers.selectExpr(raw))), au.audit_rules())
 
 
+_NOTE_RAW = (
+    "'{\"clasificacion\":\"' || CASE WHEN o_orderkey % 3 = 0 THEN 'otra' ELSE 'sin_cambio' END || '\",\"explicacion_clasificacion\":\"' || "
+    "repeat('va ', CAST(o_orderkey % 30 + 1 AS INT)) || '\",\"confianza_clasificacion\":' || CASE WHEN o_orderkey % 5 = 0 THEN '1.5' ELSE '0.5' END || "
+    "',\"calidad_comunicativa_score\":' || CAST(o_orderkey % 130 AS STRING) || ',\"explicacion_calidad\":\"' || "
+    "repeat('va ', CAST(o_orderkey % 70 + 1 AS INT)) || '\"}'"
+)
 _NOTE_BREACHES = {
-    "clase": "0",
-    "confianza_0_1": "0",
-    "calidad_0_100": "0",
-    "explicacion_5_25": "count(*)",
-    "calidad_texto_20_60": "count(*)",
+    "clase": "o_orderkey % 3 = 0",
+    "confianza_0_1": "o_orderkey % 5 = 0",
+    "calidad_0_100": "o_orderkey % 130 > 100",
+    "explicacion_5_25": "o_orderkey % 30 + 1 NOT BETWEEN 5 AND 25",
+    "calidad_texto_20_60": "o_orderkey % 70 + 1 NOT BETWEEN 20 AND 60",
 }
 
 
 @query(
     "note_contract",
     " UNION ALL ".join(
-        f"SELECT '{rule}' AS regla, CAST({breach} AS BIGINT) AS incumplidos, count(*) AS revisados FROM ({RESPONSES_SQL}) WHERE {_CORE_OK} AND shape <> 11"
+        f"SELECT '{rule}' AS regla, count(*) FILTER ({breach}) AS incumplidos, count(*) AS revisados FROM orders"
         for rule, breach in _NOTE_BREACHES.items()
     ),
 )
 def note_contract(spark: SparkSession, folder: str) -> DataFrame:
-    valid = an.validate(an.parse_basic(responses(spark, folder))).where("valid")
-    return au.contract_report(valid, au.note_rules())
+    answers = table(spark, folder, "orders").selectExpr(f"{_NOTE_RAW} AS raw")
+    return au.contract_report(au.note_as_given(an.parse_basic(answers)), au.note_rules())
 
 
 @query(
