@@ -126,6 +126,13 @@ def test_chat_query_round_trip(spark, folder):
     assert got_digests(found) == {k: chat_digests(v) for k, v in want.items()}
 
 
+def test_chat_query_matches_sql(spark, duck, folder):
+    ours = catalog.QUERIES["op2_chat_format"](spark, folder)
+    cursor = duck.execute(catalog.SQL["op2_chat_format"])
+    names = [d[0] for d in cursor.description]
+    assert sorted(map(repr, map(tuple, ours.select(*names).collect()))) == sorted(map(repr, cursor.fetchall()))
+
+
 def test_chat_rows(spark):
     rng = random.Random(4)
     pieces = ["\\", "#", "###", "### assistant:\n", "</turn>", "\n", "\n</turn>\n", "</", "turn>", "é", "日", "x", ":"]
