@@ -458,3 +458,28 @@ def test_pipeline_stage_by_stage(spark, folder, tmp_path):
 
 def test_pipeline_runs_as_one(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_takes_odd_rows(spark, tmp_path, empty):
+    prose = "the house of the king and the garden of the queen "
+    rows = [(i, f"{prose * 3} number {i} " + " ".join(f"w{i * j}" for j in range(30)), "en", "a", 10) for i in range(20)]
+    rows += [rows[3], (50, None, None, None, None), (51, "", "en", "b", 0), (52, "12 34 !?", "de", "b", 8)]
+    rows += [(None, prose + "nobody knows", None, "b", 5), (53, prose * 20_000, "en", None, None), (54, "password=abcdef " + prose * 5, "en", "b", 9)]
+    frame = spark.createDataFrame([] if empty else rows, DOCS).withColumn("copy", F.lit("clash"))
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = {}
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        result = stage(spark, docs, str(tmp_path))
+        if number < len(corpus_pipeline.STAGES) - 1:
+            assert sorted(result.columns) == sorted(frame.columns)
+        result.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        kept[name] = [r["doc_id"] for r in docs.select("doc_id").collect()]
+    if empty:
+        assert all(not ids for ids in kept.values())
+        return
+    assert sorted(kept["language_id"], key=str) == sorted([*range(20), 3, 53, 54, None], key=str)
+    assert sorted(kept["near_duplicates"], key=str) == sorted(set(kept["near_duplicates"]), key=str)
+    assert set(kept["packing"]) == set(kept["mixing"]) <= set(kept["secret_scan"]) == set(kept["near_duplicates"])
