@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselog.llm import language_id, mixing, packing, secrets, simhash
+from caselog.llm.common import extra_name
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -32,7 +33,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents come as often as their source's rate asks, in a random order."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    return mixing.mix_sources(docs, copy=extra_name(docs, "_copy")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
