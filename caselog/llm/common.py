@@ -59,12 +59,14 @@ def extra_name(df: DataFrame, stem: str) -> str:
     return name
 
 
-def per_process(name: str, make: Callable[[], object]) -> object:
-    """A value that outlives the task in a Python worker that Spark uses again.
+def per_process(slot: str, name: str, make: Callable[[], object]) -> object:
+    """A value that outlives the task in a Python worker that Spark uses again; one per slot.
 
-    Worker functions travel by value, so module globals would start afresh with every task.
+    Worker functions travel by value, so module globals would start afresh with every task. A value of
+    another name takes the slot, so that models of earlier jobs are not kept.
     """
     kept = sys.modules.setdefault("_caselog_worker_values", types.ModuleType("_caselog_worker_values"))
-    if not hasattr(kept, name):
-        setattr(kept, name, make())
-    return getattr(kept, name)
+    if getattr(kept, slot, (None,))[0] != name:
+        setattr(kept, slot, (None,))
+        setattr(kept, slot, (name, make()))
+    return getattr(kept, slot)[1]

@@ -41,7 +41,7 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     An n-gram's code holds its characters in 21 bits each. N-grams of a long text are counted piece
     by piece.
     """
-    letters = per_process("letters", _letters)
+    letters = per_process("letters", "lower case", _letters)
     codes, counts = [], []
     for at in range(0, len(text), PIECE):
         raw = np.frombuffer(text[at : at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)

@@ -224,7 +224,7 @@ def pack(
     chosen = docs.select(F.col(doc).alias("doc_id"), whole_text(text).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_process(f"chunks of {tokenizer}", lambda: ChunkTokenizer(tokenizer))
+        encoder = per_process("chunks", tokenizer, lambda: ChunkTokenizer(tokenizer))
         schema = None
         following = TaskContext.get().partitionId() << 32
         held = Bin(window, following)
