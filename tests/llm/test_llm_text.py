@@ -276,6 +276,17 @@ def test_quality_rows(spark):
     assert len(unjudged) == 46 and all(r["keep"] and r["perplexity"] is None for r in unjudged)
 
 
+def test_quality_counts_every_trusted_document(spark, monkeypatch):
+    """More trusted documents than the 20,000 the model was once thinned to, and runs of a few n-grams."""
+    monkeypatch.setattr(quality, "RUN", 1000)
+    fitted, fit_tables = [], quality.fit_tables
+    monkeypatch.setattr(quality, "fit_tables", lambda grams: fitted.append(grams.agg(F.sum("n")).first()[0]) or fit_tables(grams))
+    docs = spark.range(25_000).selectExpr("id AS doc_id", "concat('doc ', id) AS text", "'en' AS lang")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    rows = quality.judge_quality(docs, labels)
+    assert fitted == [rows.agg(F.sum("n_symbols")).first()[0]]
+
+
 def test_quality_query_matches_sql(spark, duck, folder):
     ours = catalog.QUERIES["op3_quality"](spark, folder)
     cursor = duck.execute(catalog.SQL["op3_quality"])
