@@ -32,15 +32,16 @@ HEX_BITS, ALNUM_BITS, BASE64_BITS = 3.0, 3.6, 3.7
 #: A window of letters alone is prose in languages with long words, however even its letters are.
 LEAST_DIGITS = 2
 
-# Candidates that are never secrets.
+# What is never a secret as a whole.
 ALLOWED = re.compile(
-    r"""(?x) (?:https?|ftp)[:/]                     # addresses
-    | ^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$ # UUIDs
+    r"""(?x) ^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$ # UUIDs
     | ^[0-9_=+/-]+$                                 # numbers, dates and rules
-    | (?i:example|sample|dummy|placeholder|changeme|lorem)
-    | ^(?:[A-Za-z]+[-_/]){2,}[A-Za-z0-9]+$          # slugs and paths of words
+    | ^(?:[A-Za-z]+[-_/]){2,}(?:[A-Za-z]+|[0-9]{1,4}|[A-Za-z][a-z]{0,7}[0-9]{1,2})$ # slugs and paths of words
     """
 )
+# Words that mark the part they stand in as harmless; a scheme is a part of its own.
+PLACEHOLDER = re.compile(r"(?i:example|sample|dummy|placeholder|changeme|lorem)|(?<![A-Za-z0-9])(?:https?|ftp)(?=/)")
+PART = re.compile(r"[A-Za-z0-9]+")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -81,25 +82,44 @@ def _class(character: str) -> int:
     return 1 if character.isdigit() else 0 if character.isalpha() else 2
 
 
+def stretches(candidate: str) -> Iterator[tuple[int, str]]:
+    """(start, stretch) of what is left of a candidate without its placeholder parts.
+
+    Parts lie between separators; a separator beside a part goes with it. A part that could hold a key
+    on either side of its placeholder word is kept, for its windows to be judged.
+    """
+    at = 0
+    if PLACEHOLDER.search(candidate):
+        for part in PART.finditer(candidate):
+            if len(part[0]) >= 2 * WINDOW or not PLACEHOLDER.search(candidate, part.start(), part.end() + 1):
+                continue
+            if part.start() - 1 > at:
+                yield at, candidate[at : part.start() - 1]
+            at = part.end() + 1
+    if at < len(candidate):
+        yield at, candidate[at:]
+
+
 def entropy_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, 3, end) of the merged windows whose entropy is too high for their character class."""
     found: list[tuple[int, int, int]] = []
     for match in CANDIDATE.finditer(text):
-        candidate = match[0]
-        if candidate.isalpha() or ALLOWED.search(candidate):
-            continue
-        lowest = HEX_BITS if not candidate.strip("0123456789abcdefABCDEF") else None
-        start = end = -1
-        for at, bits, _letters, digits, other in windows_over(candidate):
-            least = lowest or (BASE64_BITS if other else ALNUM_BITS)
-            if digits < LEAST_DIGITS or bits < least:
+        for offset, stretch in stretches(match[0]):
+            if len(stretch) < WINDOW or stretch.isalpha() or ALLOWED.search(stretch):
                 continue
-            if start >= 0 and at > end:
-                found.append((match.start() + start, 3, match.start() + end))
-                start = -1
-            start, end = (at if start < 0 else start), at + WINDOW
-        if start >= 0:
-            found.append((match.start() + start, 3, match.start() + end))
+            first = match.start() + offset
+            lowest = HEX_BITS if not stretch.strip("0123456789abcdefABCDEF") else None
+            start = end = -1
+            for at, bits, _letters, digits, other in windows_over(stretch):
+                least = lowest or (BASE64_BITS if other else ALNUM_BITS)
+                if digits < LEAST_DIGITS or bits < least:
+                    continue
+                if start >= 0 and at > end:
+                    found.append((first + start, 3, first + end))
+                    start = -1
+                start, end = (at if start < 0 else start), at + WINDOW
+            if start >= 0:
+                found.append((first + start, 3, first + end))
     return found
 
 

@@ -109,6 +109,27 @@ def test_entropy_finds_keys_and_passes_allowed_strings():
         assert secrets.secret_spans(f"see {harmless} there")[1] == []
 
 
+def test_allow_list_hides_only_the_harmless_part():
+    key = "4eC39HqLyjWDarjtT1zdp7dc"
+    block = "wJ4lrXUtn9EMI7K7MDENG9bPxRfiCYzZ4kQ2pL8v"
+    for text in (
+        f"sk_live_{key}",
+        f"sk-proj-{key}Qw8",
+        f"api/key/{key}",
+        f"/examples/{key}",
+        f"{key}/examples/docs",
+        f"/docs/sample-code/{key}/dummy",
+        f"{block}lorem{block}",
+        f"{block}/examples_{block}",
+        f"https/docs/{key}",
+    ):
+        spans = secrets.secret_spans(f"see {text} there")[1]
+        hidden = secrets.redact(f"see {text} there", spans)
+        assert spans and key not in hidden and block[:20] not in hidden and block[-20:] not in hidden, text
+    for harmless in ("/examples/getting-started-with-words", "a-long-slug-of-words-2024", "docs/reference/file10", "EXAMPLE7KEY8VALUE9a0b1c"):
+        assert secrets.secret_spans(f"see {harmless} there")[1] == [], harmless
+
+
 def test_secret_rows(spark):
     schema = "doc_id long, text string, spans int, n_chars long"
     long = "word " * 300_000 + "password=abcdef " + "x1Y2" * 50_000
