@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caselog.llm.common import query, table
+from caselog.session import cut_lineage
 
 TABLES, PROBES, ROUNDS, SEED = 12, 16, 3, 7
 #: A bucket is searched in blocks of about so many vectors and queries.
 BLOCK_ROWS, BLOCK_QUERIES = 8_192, 2_048
+#: Vectors of one length and norm range are searched whole up to so many, in blocks of EXACT_BLOCK.
+EXACT, EXACT_BLOCK = 4_096, 512
 #: Scores this close to the last place are compared exactly.
 MARGIN = 1e-6
 
@@ -108,16 +111,18 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each query, by inner product.
 
-    Every vector is put in one bucket of each table, that of its nearest signed axis; a query looks
-    into the buckets of its `probes` nearest axes of each table. Candidates are reranked by the exact
-    inner product of the original vectors in double precision, ties to the smaller id, a query's own
-    id aside. Buckets are searched in blocks: a bucket of many vectors or queries is dealt out over
+    Vectors of each number of components are searched on their own, and dealt into ranges of norm: within
+    one the longest is sqrt(2) times the shortest at most. In a range of more than EXACT vectors every
+    vector is put in one bucket of each table, that of its nearest signed axis; a query looks into the
+    buckets of its `probes` nearest axes of each table, in all such ranges. The other ranges, and all of
+    them for a query that found fewer than k rows, are searched whole. Candidates are reranked by the
+    exact inner product of the original vectors in double precision, ties to the smaller id, a query's
+    own id aside. Buckets are searched in blocks: a bucket of many vectors or queries is dealt out over
     tasks as (block of vectors, block of queries), so none is capped and none is held whole.
 
-    Vectors that are null, zero, of another length than the longest one, or that hold null or
-    non-finite components take no part, nor do rows without an id; of rows that repeat an id one with
-    the largest score counts. Fewer than k candidates give fewer rows, an empty table none. Other
-    columns are left out.
+    Vectors that are null, zero, or that hold null or non-finite components take no part, nor do rows
+    without an id; of rows that repeat an id one with the largest score counts. Fewer than k candidates
+    of a query's number of components give fewer rows, an empty table none. Other columns are left out.
     """
     spark = vectors.sparkSession
     plain = F.col(vector).cast("array<double>")
@@ -127,41 +132,95 @@ def nearest(
         fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         return chosen.where(F.col("id").isNotNull() & fine & F.exists("v", lambda x: x != 0))
 
-    stored = valid(vectors)
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    facts = stored.agg(F.max(F.size("v")).alias("size"), F.max(norm).alias("norm")).first()
-    result = "query_id long, rank int, vec_id long, score double"
-    if facts["size"] is None:
-        return spark.createDataFrame([], result)
-    dimension, longest = facts["size"], facts["norm"]
-    stored, asked = (df.where(F.size("v") == dimension) for df in (stored, valid(queries)))
+    level = F.coalesce(F.floor(2 * F.log2("norm") + 0.5), F.lit(0)).cast("int")
+    stored, asked = (
+        valid(df).withColumn("norm", norm).select("id", "v", F.size("v").alias("size"), level.alias("level"), "norm")
+        for df in (vectors, queries)
+    )
+    large = stored.groupBy("size", "level").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest"))
+    groups, base = {}, 0
+    for r in large.where(F.col("n") > EXACT).orderBy("size", "level").collect():
+        if 0 < r["longest"] < float("inf"):
+            groups[r["size"], r["level"]] = base, r["longest"]
+            base += tables * 2 * CrossPolytope(r["size"], r["longest"], 0, seed).width
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(*FOUND_ORDER)
+
+    first = ranked(_search(stored, asked, k, groups, tables, probes, seed))
+    if not groups:
+        return first
+    first = cut_lineage(first)
+    counts = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    ids = asked.select("id").distinct()
+    short = ids.join(counts, ids["id"] == counts["query_id"], "left")
+    short = cut_lineage(short.where(F.coalesce("n", F.lit(0)) < k).select(F.col("id").alias("_short")))
+    if short.isEmpty():
+        return first
+    again = asked.join(short, asked["id"] == short["_short"], "left_semi")
+    whole = ranked(_search(stored, again, k, {}, tables, probes, seed))
+    return first.join(short, first["query_id"] == short["_short"], "left_anti").unionByName(whole)
+
+
+def _search(
+    stored: DataFrame,
+    asked: DataFrame,
+    k: int,
+    groups: dict[tuple[int, int], tuple[int, float]],
+    tables: int,
+    probes: int,
+    seed: int,
+) -> DataFrame:
+    """query_id, vec_id, score of the candidates: those of the probed buckets and all in no group.
+
+    `groups` are the (number of components, norm range) that are hashed, with their first bucket and
+    longest norm. What is in no group is in one bucket per number of components, probed by every query.
+    """
+    spark = stored.sparkSession
 
     def placed(df: DataFrame, is_stored: bool, with_vector: bool) -> DataFrame:
+        def buckets(matrix: np.ndarray, size: int, level: int) -> Iterator[np.ndarray]:
+            """(rows, probes) arrays of buckets."""
+            own = {g: x for g, x in groups.items() if g[0] == size and (not is_stored or g[1] == level)}
+            if not is_stored or not own:
+                yield np.full((len(matrix), 1), -1 - size)
+            if own:
+                index = CrossPolytope(size, next(iter(own.values()))[1], tables, seed)
+                unit = index.placed(matrix, is_stored)
+                for number in range(tables):
+                    axes = index.axes(unit, number, 1 if is_stored else probes) + number * 2 * index.width
+                    for first, _longest in own.values():
+                        yield axes + first
+
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = CrossPolytope(dimension, longest, tables, seed)
             for batch in batches:
-                for at in range(0, batch.num_rows, 2_000):
-                    part = batch.slice(at, 2_000)
-                    unit = index.placed(_matrix(part.column(1), dimension), is_stored)
-                    for number in range(tables):
-                        axes = index.axes(unit, number, 1 if is_stored else probes)
-                        rows = np.repeat(np.arange(len(unit)), axes.shape[1])
-                        own = part.take(pa.array(rows))
-                        bucket = pa.array(axes.ravel() + number * 2 * index.width)
-                        columns = [bucket, own.column(0)] + ([own.column(1)] if with_vector else [])
-                        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "id", "v"][: len(columns)])
-
-        return df.mapInArrow(run, "bucket long, id long" + ", v array<double>" * with_vector)
+                sizes, levels = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+                kinds = np.stack([sizes, levels if is_stored else np.zeros_like(levels)], axis=1)
+                for size, level in np.unique(kinds, axis=0).tolist():
+                    chosen = np.nonzero((kinds == (size, level)).all(axis=1))[0]
+                    for at in range(0, len(chosen), 2_000):
+                        part = batch.take(pa.array(chosen[at : at + 2_000]))
+                        for found in buckets(_matrix(part.column(1), size), size, level):
+                            own = part.take(pa.array(np.repeat(np.arange(len(found)), found.shape[1])))
+                            columns = [pa.array(found.ravel().astype(np.int64)), own.column(0)]
+                            columns += [own.column(1)] if with_vector else []
+                            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "id", "v"][: len(columns)])
+
+        plain = df.select("id", "v", "size", "level")
+        return plain.mapInArrow(run, "bucket long, id long" + ", v array<double>" * with_vector)
 
     def blocks(df: DataFrame, is_stored: bool, size: int) -> dict[int, int]:
-        """bucket -> number of blocks; there are at most tables * axes buckets."""
+        """bucket -> number of blocks; there are at most tables * axes buckets a group."""
         counts = placed(df, is_stored, False).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-        return {r["bucket"]: -(-r["n"] // size) for r in counts.collect()}
+        whole = min(EXACT_BLOCK, size) if is_stored else size
+        return {r["bucket"]: -(-r["n"] // (size if r["bucket"] >= 0 else whole)) for r in counts.collect()}
 
     row_blocks, query_blocks = blocks(stored, True, BLOCK_ROWS), blocks(asked, False, BLOCK_QUERIES)
     both = [(b, n, query_blocks[b]) for b, n in row_blocks.items() if b in query_blocks]
     if not both:
-        return spark.createDataFrame([], result)
+        return spark.createDataFrame([], "query_id long, vec_id long, score double")
     plan = spark.createDataFrame(both, "bucket long, row_blocks long, query_blocks long")
 
     def dealt(df: DataFrame, is_stored: bool) -> DataFrame:
@@ -175,9 +234,9 @@ def nearest(
 
     def search(group: pa.Table) -> pa.Table:
         kind = group.column("stored").to_numpy(zero_copy_only=False).astype(bool)
-        ids, matrix = group.column("id").to_numpy(), _matrix(group.column("v"), dimension)
         if kind.all() or not kind.any():
             return pa.table({n: pa.array([], t) for n, t in FOUND})
+        ids, matrix = group.column("id").to_numpy(), _matrix(group.column("v"), len(group.column("v")[0]))
         found = best_of(matrix[~kind], ids[~kind], matrix[kind], ids[kind], k)
         return pa.table({n: pa.array(x) for (n, _t), x in zip(FOUND, found)})
 
@@ -185,13 +244,11 @@ def nearest(
     found = pairs.groupBy("bucket", "row_block", "query_block").applyInArrow(
         search, "query_id long, vec_id long, score double"
     )
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
 
 
 FOUND = (("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()))
+FOUND_ORDER = ("query_id", "rank", "vec_id", "score")
 
 
 @query("op8_nearest")

@@ -260,6 +260,32 @@ def test_nearest_rows(spark, monkeypatch):
     assert nearest.nearest(frame, frame.where("vec_id >= 100")).count() == 0
 
 
+@pytest.mark.parametrize("exact", [nearest.EXACT, 5])
+def test_nearest_is_whole_for_few_long_and_stray_vectors(spark, monkeypatch, exact):
+    """Few vectors, one long one, skewed lengths, and stray vectors of more components; also where all are hashed."""
+    monkeypatch.setattr(nearest, "EXACT", exact)
+    rng = np.random.default_rng(8)
+    unit = rng.normal(size=(400, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    one_long = unit[:200] * np.where(np.arange(200) == 7, 100, 1)[:, None]
+    skewed = unit * rng.lognormal(sigma=1.5, size=(400, 1))
+    stray = [(1000 + i, rng.normal(size=65).tolist(), 1) for i in range(2)]
+    for vectors in (unit[:10], one_long, skewed):
+        rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+        frame = spark.createDataFrame(rows + stray, VECTORS)
+        asked = list(range(0, len(vectors), 5))
+        got = found_by(nearest.nearest(frame, frame.where("vec_id % 5 = 0")).collect())
+        assert got.pop(1000) == [1001]
+        want = exact_by(vectors, asked)
+        assert {q: len(x) for q, x in got.items()} == {q: len(x) for q, x in want.items()}
+        hits = sum(len(set(want[q]) & set(got[q])) for q in want)
+        assert hits >= (1 if exact > 5 else 0.7) * sum(map(len, want.values()))
+
+
+def exact_by(vectors, asked):
+    return exact(list(range(len(vectors))), vectors, asked, 20)
+
+
 # SimHash
 
 
