@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import math
+import re
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,6 +162,84 @@ def merge_all(base: Column, layers: Column, protected: list[str] = ()) -> Column
     return F.aggregate(layers, start, lambda merged, layer: merge_answers(merged, [layer], protected))
 
 
+# Labels from harmless to grave; of several parts the gravest counts.
+GRAVITY = {
+    label: rank
+    for rank, labels in enumerate(
+        (("ninguno", "ninguna", "sin_alerta"), ("verde", "🟢", "bajo", "baja"), ("amarillo", "🟡", "medio", "media", "moderado", "moderada"),
+         ("naranja", "🟠"), ("rojo", "🔴", "alto", "alta"), ("critico", "crítico", "critica", "crítica", "muy alto"))
+    )
+    for label in labels
+}
+LEVEL = re.compile(r"^(nivel_(riesgo|alerta|riesgo_queja)|estado_semaforo|codigo_visual)$")
+MEAN = re.compile(r"score|porcentaje|promedi[oa]|por_semana|^confianza")
+SUM = re.compile(r"^(total_|observaciones_)|_(halladas|detectadas)$")
+NONE_BUT_ALL = ("secuencia_logica",)
+
+
+def fold_values(key: str, values: list[tuple[Any, int]]) -> Any:
+    """One value for a key that several parts of a case answered, each with its weight.
+
+    Flags hold if any part's does, levels take the gravest, scores and shares the mean by weight, counts
+    the sum, least and greatest numbers and dates their own; objects are folded by key, lists are joined
+    without repeats, and different texts stand one after the other. Confidence takes the lowest label.
+    """
+    given = [(v, w) for v, w in values if v is not None]
+    kept = [v for v, _w in given]
+    if not kept:
+        return None
+    if all(isinstance(v, dict) for v in kept):
+        names = dict.fromkeys(name for v in kept for name in v)
+        return {name: fold_values(name, [(v[name], w) for v, w in given if name in v]) for name in names}
+    if any(isinstance(v, list) for v in kept):
+        items = [x for v in kept for x in (v if isinstance(v, list) else [v])]
+        return list({json.dumps(x, sort_keys=True): x for x in items}.values())
+    if all(isinstance(v, bool) for v in kept):
+        return all(kept) if key in NONE_BUT_ALL else any(kept)
+    numbers = all(isinstance(v, (int, float)) for v in kept)
+    if numbers and SUM.search(key):
+        return sum(kept)
+    if all(v == kept[0] for v in kept):
+        return kept[0]
+    if numbers and MEAN.search(key):
+        mean = sum(v * w for v, w in given) / sum(w for _v, w in given)
+        return round(mean) if all(isinstance(v, int) for v in kept) else mean
+    least = "minima" in key or "primera" in key
+    if numbers or key.startswith("fecha_"):
+        return (min if least else max)(kept, key=lambda v: (not isinstance(v, str), v) if numbers else str(v))
+    ranks = [GRAVITY.get(str(v).strip().lower()) for v in kept]
+    if None not in ranks and (LEVEL.search(key) or key == "confianza"):
+        pick = min if key == "confianza" else max
+        return kept[ranks.index(pick(ranks))]
+    texts = [v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for v in kept]
+    return " | ".join(dict.fromkeys(texts))
+
+
+def _read(text: str | None) -> Any:
+    """A map's value: objects, lists, numbers and flags as such, all else as text."""
+    try:
+        value = json.loads(text) if text is not None else None
+    except ValueError:
+        return text
+    return text if isinstance(value, float) and not math.isfinite(value) else value
+
+
+def fold_layers(parts: list) -> list[dict[str, str | None]]:
+    """One map per step from those of all parts, in order; `parts` hold their weight and layers."""
+    folded = []
+    for step in range(max((len(p["layers"]) for p in parts), default=0)):
+        mine = [((p["layers"][step] or {}), max(1, p["weight"])) for p in parts]
+        result = {}
+        for name in dict.fromkeys(name for layer, _w in mine for name in layer):
+            raw = [layer[name] for layer, _w in mine if name in layer]
+            value = fold_values(name, [(_read(layer[name]), w) for layer, w in mine if name in layer])
+            same = [text for text in raw if text is not None and _read(text) == value]
+            text = value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+            result[name] = same[0] if same else text
+        folded.append(result)
+    return folded
+
+
 def _without(entries: Column, others: Column) -> Column:
     return F.map_filter(entries, lambda k, _: ~F.map_contains_key(others, k))
 

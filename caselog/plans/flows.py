@@ -54,7 +54,7 @@ def audit_cases(
     """One row per case with `resultado`: identity, alert answers and quality answers, later ones winning.
 
     Both steps get the same text, in several requests where a case comes in parts; the answers of the
-    parts are merged in order. A step without a readable answer leaves its failure marker; a case
+    parts are folded key by key (`audit.fold_values`), weighted by their events, before the steps are merged. A step without a readable answer leaves its failure marker; a case
     without note text is not sent.
     """
     human = rq.case_text(cases)
@@ -73,12 +73,16 @@ def audit_cases(
     single, several = joined.where("partes = 1"), joined.where("partes > 1")
     shape = [c for c in cases.columns if c not in ("parte", "piezas_antes", "observaciones_unidas")]
     one = single.select(*shape, "observaciones_unidas", "request_id", layers.alias("_layers"))
-    in_order = F.sort_array(F.collect_list(F.struct("parte", F.to_json(layers, {"ignoreNullFields": "false"}).alias("layers"))))
+    weight = F.size(F.split("observaciones_unidas", r"\|"))
+    answers = F.to_json(layers, {"ignoreNullFields": "false"})
+    in_order = F.sort_array(F.collect_list(F.struct("parte", weight.alias("weight"), answers.alias("layers"))))
     many = several.groupBy(*shape).agg(in_order.alias("_parts"), F.first("request_id").alias("request_id"))
-    read = F.transform("_parts", lambda p: F.from_json(p["layers"], "array<map<string,string>>"))
-    many = many.select(
-        *shape, F.lit(None).cast("string").alias("observaciones_unidas"), "request_id", F.flatten(read).alias("_layers")
+    read = F.transform(
+        "_parts",
+        lambda p: F.struct(p["weight"].alias("weight"), F.from_json(p["layers"], "array<map<string,string>>").alias("layers")),
     )
+    folded = F.udf(au.fold_layers, "array<map<string,string>>")(read)
+    many = many.select(*shape, F.lit(None).cast("string").alias("observaciones_unidas"), "request_id", folded.alias("_layers"))
     identity = {c: F.col(c).cast("string") for c in rq.CASE_FIELDS}
     base = F.create_map(*[part for name, value in identity.items() for part in (F.lit(name), value)])
     nothing = {c: v for c, v in identity.items() if c not in ("total_eventos", "observaciones_unidas")}

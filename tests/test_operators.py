@@ -16,7 +16,7 @@ from caselog.operators import requests as rq
 from caselog.operators import skew
 from caselog.operators import tables as tb
 from caselog.operators import timeline as tl
-from caselog.plans import catalog
+from caselog.plans import catalog, flows
 from caselog.plans.inputs import notes, responses
 from caselog.sources import readers, writers
 from caselog.streaming import ingest
@@ -314,3 +314,30 @@ def test_merge_keeps_protected_keys(spark):
 def test_plans_never_gather_all_rows_in_one_task(name, spark, folder):
     plan = catalog.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_audit_of_a_case_in_parts_keeps_what_each_part_says(spark, tmp_path):
+    class PartClient:
+        """Answers every part by its own text: the first event raises the alert, the rest do not."""
+
+        def __call__(self, messages, attempt):
+            first = "evento 000" in messages[1][1]
+            if messages[0][1] == "alertas":
+                alert = {"detectada": first, "nivel_riesgo": "ALTO" if first else "BAJO"}
+                return json.dumps({"alerta": alert, "nivel_alerta": "ROJO" if first else "VERDE"})
+            remarks = ["Nota/Supuesto: una", "Nota/Supuesto: primera" if first else "Nota/Supuesto: otra"]
+            return json.dumps({"score_final_0a100": 100 if first else 50, "observaciones": remarks, "total_observaciones": 3})
+
+    pieces = [" | ".join(f"2025-01-01 - evento {i:03}" for i in part) for part in (range(3), range(3, 4))]
+    names = "nit_taller nombre_taller numero_aviso numero_siniestro placa usuario rol_analista".split()
+    rows = [(*names, 4, 4, at, 2, 3 * at, text) for at, text in enumerate(pieces)]
+    schema = ", ".join(f"{n} string" for n in names) + ", total_eventos long, eventos_no_vacios long, parte long, partes long, piezas_antes long, observaciones_unidas string"
+    prompts = spark.createDataFrame(
+        [("v4", k, t) for k, t in zip(flows.STEP_PROMPTS.values(), ("alertas", "calidad"))], "version string, key string, text string"
+    )
+    cases = spark.createDataFrame(rows, schema)
+    done = flows.audit_cases(cases, prompts, "v4", PartClient(), str(tmp_path / "answers"), backoff=lambda attempt: 0.0)
+    (result,) = [r["resultado"] for r in done.collect()]
+    assert json.loads(result["alerta"]) == {"detectada": True, "nivel_riesgo": "ALTO"} and result["nivel_alerta"] == "ROJO"
+    assert (result["score_final_0a100"], result["total_observaciones"]) == ("88", "6")
+    assert json.loads(result["observaciones"]) == ["Nota/Supuesto: una", "Nota/Supuesto: primera", "Nota/Supuesto: otra"]
