@@ -1,6 +1,7 @@
 """All registered corpus queries."""
 
 from caselog.llm import (
+    centroids,
     chat_format,
     language_id,
     mixing,
