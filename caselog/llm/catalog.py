@@ -7,6 +7,7 @@ from caselog.llm import (
     mixing,
     nearest,
     packing,
+    phrases,
     quality,
     secrets,
     simhash,
