@@ -13,6 +13,7 @@ from caselog.llm import (
     simhash,
     spot_signatures,
     url_filter,
+    wrappers,
 )
 from caselog.llm.common import QUERIES, SQL
 
