@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,12 +26,15 @@ from caselog.session import cut_lineage
 LONGEST, LEAST, SHARE, TOP, MILLION = 3, 10, 50, 2000, 1_000_000
 UNKNOWN = "und"
 #: Windows are counted in chunks of so many bytes of text, and summed in buckets of so many.
-CHUNK_BYTES, BUCKET_BYTES = 12 << 20, 4 << 20
+CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 4 << 20
+#: Blocks of so many bytes on average are packed before the shuffle, which then packs them no further.
+PACK_BYTES = 1024
 #: Candidates of one language are first ranked in so many groups.
 RANK_GROUPS = 64
 #: Marks in the token stream; no UTF-8 text holds these bytes.
 BREAK, LANGUAGE = b"\xff", b"\xfe"
-BLOCK = "bucket long, lang string, counted boolean, head binary, last binary, n binary, sure binary"
+BLOCK = "bucket long, lang string, counted boolean, packed boolean, head binary, last binary, n binary, sure binary"
+CONTENTS, COUNTED = ("head", "last", "n", "sure"), 2
 ROWS = "lang string, words array<string>, n long"
 
 
@@ -163,20 +167,37 @@ def blocks(
     order, starts = _runs(bucket, lang)
     bounds = np.concatenate([starts, [len(order)]])
     first, take = order[starts], pa.array(order)
+    contents = [
+        _slices(_with_ends(head.take(take)), bounds),
+        _slices(_with_ends(last.take(take)), bounds),
+        _numbers(n[order].astype(np.int64), bounds),
+        _numbers(sure[order].astype(np.uint8), bounds),
+    ]
+    packed = sum(c.nbytes for c in contents) >= PACK_BYTES * len(first)
+    if packed:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        contents = [pa.array([pack(v.as_buffer()) for v in c], pa.binary()) for c in contents]
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(bucket[first].astype(np.int64)),
             pa.array(langs, pa.string()).take(pa.array(lang[first])),
             pa.array(np.full(len(first), counted)),
-            _slices(_with_ends(head.take(take)), bounds),
-            _slices(_with_ends(last.take(take)), bounds),
-            _numbers(n[order].astype(np.int64), bounds),
-            _numbers(sure[order].astype(np.uint8), bounds),
+            pa.array(np.full(len(first), packed)),
+            *contents,
         ],
-        ["bucket", "lang", "counted", "head", "last", "n", "sure"],
+        ["bucket", "lang", "counted", "packed", *CONTENTS],
     )
 
 
+def unpacked(batch: pa.RecordBatch, i: int) -> dict:
+    """Row i of a batch of blocks, with its contents as written."""
+    row = {c: batch.column(k)[i].as_py() for k, c in enumerate(batch.schema.names)}
+    if row["packed"]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        row |= {c: unpack(row[c]) for c in CONTENTS}
+    return row
+
+
 def _bucket_of(texts: pa.Array, buckets: int) -> np.ndarray:
     hashes = (xxhash.xxh64_intdigest(t) for t in texts.to_pylist())
     return (np.fromiter(hashes, np.uint64, len(texts)) >> np.uint64(8)) % np.uint64(buckets)
@@ -274,14 +295,15 @@ def _sum_level(width: int, least: int, buckets: int):
         bucket, held = None, {}
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(k)[i].as_py() for k, c in enumerate(batch.schema.names)}
-                if row["counted"]:
+                if batch.column(COUNTED)[i].as_py():
                     if width == 1:
+                        row = unpacked(batch, i)
                         texts = _split(row["head"][:-1], "\n")
                         yield from rows_of(row["lang"], texts, np.frombuffer(row["n"], np.int64))
                     else:
                         yield batch.slice(i, 1)
                     continue
+                row = unpacked(batch, i)
                 if row["bucket"] != bucket:
                     for lang in held:
                         yield from level(lang, bucket, held[lang])
