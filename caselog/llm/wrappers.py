@@ -441,7 +441,7 @@ ARTICLE, MAIN, NAMED, SLOT, OUTSIDE = 3, 2, 1, 0, -1
 
 
 def ranked(wrapper: Item) -> Item:
-    """Sets the rank of every text place.
+    """Sets the rank of every text place, and of the blocks around them.
 
     Menus, footers, sidebars and the like are outside. Inside an article element, a main element or a
     block named as text, every other place counts. Elsewhere slots count, unless most of their text is
@@ -478,6 +478,7 @@ def ranked(wrapper: Item) -> Item:
             return
         if item.sign[0] != GROUP and rank != OUTSIDE:
             rank = OUTSIDE if is_outside(item, rank) else max(rank, _is_text(item))
+        item.rank = rank
         for inner in item.items:
             walk(inner, rank)
 
@@ -493,8 +494,12 @@ def _is_text(item: Item) -> int:
     return ARTICLE if tag == "article" else MAIN if tag == "main" else NAMED if part == "text" else SLOT
 
 
-def matched(wrapper: Item, page: Item, ranks: dict[int, int]) -> None:
-    """Reads a page's own wrapper through its host's: each block gets the rank of its text place."""
+def matched(wrapper: Item, page: Item, ranks: dict[int, int], apart: list[tuple[int, Item]]) -> None:
+    """Reads a page's own wrapper through its host's: each block gets the rank of its text place.
+
+    Where equal signs repeat, a block may meet another place than the one it once went into. What has no
+    place there goes to `apart`, with the rank of the block around it.
+    """
     if page.sign == TEXT:
         ranks.update(dict.fromkeys(page.numbers, wrapper.rank))
         return
@@ -508,22 +513,41 @@ def matched(wrapper: Item, page: Item, ranks: dict[int, int]) -> None:
     for ours, theirs in pairs:
         if theirs is None:
             continue
-        if ours is not None:
-            matched(ours, theirs, ranks)
-            continue
-        for inner in ungrouped([theirs]):
-            matched(by_sign.get(inner.sign) or by_sign[broad(inner.sign)], inner, ranks)
+        for inner in [theirs] if ours is not None else ungrouped([theirs]):
+            place = ours or by_sign.get(inner.sign) or by_sign.get(broad(inner.sign))
+            if place is None:
+                apart.append((wrapper.rank, inner))
+            else:
+                matched(place, inner, ranks, apart)
+
+
+def ranks_of(wrapper: Item, page: Item) -> dict[int, int]:
+    """The rank of every block; those without a place get the page's own rank, within the block around."""
+    ranks: dict[int, int] = {}
+    apart: list[tuple[int, Item]] = []
+    matched(wrapper, page, ranks, apart)
+
+    def alone(item: Item, around: int) -> None:
+        rank = OUTSIDE if OUTSIDE in (item.rank, around) else max(item.rank, around)
+        ranks.update(dict.fromkeys(item.numbers, rank))
+        for inner in item.items:
+            alone(inner, around)
+
+    if apart:
+        ranked(page)
+    for around, item in apart:
+        alone(item, around)
+    return ranks
 
 
 def read_through(wrapper: Item, source: str) -> str:
     """The blocks of the surest rank that the page has text of, in page order."""
     page = Page(source)
-    ranks: dict[int, int] = {}
-    matched(wrapper, of_page(page), ranks)
+    ranks = ranks_of(wrapper, of_page(page))
     best = max(ranks.values(), default=OUTSIDE)
     if best == OUTSIDE:
         return ""
-    return "\n".join(text for i, (text, _links) in enumerate(page.blocks) if ranks.get(i) == best)
+    return "\n".join(text for i, (text, _links) in enumerate(page.blocks) if ranks[i] == best)
 
 
 WRAPPER = "host string, wrapper string"
