@@ -19,10 +19,19 @@ STRICT = {"allowSingleQuotes": "false"}
 # Text of any other shape cannot be such JSON. Asking first is cheaper than a failed read.
 OBJECT_SHAPE = r"(?s)^\s*\{.*\}\s*$"
 OTHER_SHAPE = r"^\s*[\[\"\-0-9tfnNI]"
-# Anything but ASCII and the Latin characters that the compatibility form leaves as they are.
-UNSTABLE = "[^\\x00-\\x7f" + "".join(
-    chr(code) for code in range(0xA1, 0x180) if unicodedata.normalize("NFKC", chr(code)) == chr(code)
-) + "“”‘’„«»–—•]"
+
+
+def _ranges(codes: set[int]) -> str:
+    """Code points as the inside of a character class, neighbours as one range."""
+    starts = sorted(c for c in codes if c - 1 not in codes)
+    ends = sorted(c for c in codes if c + 1 not in codes)
+    return "".join(f"\\x{{{first:x}}}-\\x{{{last:x}}}" for first, last in zip(starts, ends))
+
+
+# Characters beyond ASCII that the compatibility form leaves as they are: Latin letters, common marks.
+STABLE = {c for c in range(0xA1, 0x180) if unicodedata.normalize("NFKC", chr(c)) == chr(c)} | set(map(ord, "“”‘’„«»–—•"))
+# Any other character beyond ASCII. The long class is only tried where the short one matched.
+UNSTABLE = rf"[^\x00-\x7f](?<![{_ranges(STABLE)}])"
 CONTROL = r"[\x00-\x1f\x7f]"
 FENCE = r"(?is)```(?:json)?\s*(.*?)\s*```"
 
@@ -103,7 +112,8 @@ def nfkc(text: Column) -> Column:
 
     Latin letters with accents are their own compatibility form, so Spanish text stays in the JVM.
     """
-    return F.coalesce(_nfkc(F.when(text.rlike(UNSTABLE), text)), text)
+    beyond_ascii = F.octet_length(text) != F.char_length(text)
+    return F.coalesce(_nfkc(F.when(beyond_ascii & text.rlike(UNSTABLE), text)), text)
 
 
 def drop_control(text: Column) -> Column:
