@@ -14,6 +14,7 @@ from caselog.functions import text as tx
 from caselog.operators import answers as an
 from caselog.operators import skew
 from caselog.schemas import AUDIT_FLAT, CONFIDENCE, NOTE_HEADER, RESPONSES
+from caselog.session import cut_lineage
 
 CASE_FIELDS = [
     "nit_taller",
@@ -195,26 +196,39 @@ def answer_pending(
     with `accept`, which adds `valid` to responses. So a lost task repeats its calls of one round only,
     invalid answers are asked again, and a later run asks again what failed before, up to
     `most_attempts` in all. With `prompts`, the text of `system_key` is attached to the distinct
-    pending requests just before they are sent; without, `system` comes with the requests.
+    pending requests just before they are sent; without, `system` comes with the requests. The pending
+    requests of a round are written once to the shared folder, and each response is judged once.
     """
     spark = requests.sparkSession
     spark.createDataFrame([], RESPONSES).write.mode("append").parquet(path)
     told = "system" if prompts is None else "system_key"
     asked = distinct_requests(requests.select("request_id", "step", told, "human"))
+    earlier = accept(spark.read.schema(RESPONSES).parquet(path))
+    todo = cut_lineage(pending(asked, earlier, most_attempts=most_attempts))
     for number in range(1, attempts + 1):
-        stored = spark.read.schema(RESPONSES).parquet(path)
-        todo = pending(asked, accept(stored), most_attempts=most_attempts)
         if number > 1:
+            todo = cut_lineage(_still_pending(todo, spark.read.schema(RESPONSES).parquet(path), accept, most_attempts))
             if todo.isEmpty():
                 break
             time.sleep(backoff(number - 1))
-        if prompts is not None:
-            todo = with_prompts(todo, prompts, version)
-        todo = todo.withColumn("system", F.coalesce("system", F.lit("")))
-        run_inference(todo, client, slots).write.mode("append").parquet(path)
+        told_all = todo if prompts is None else with_prompts(todo, prompts, version)
+        told_all = told_all.withColumn("system", F.coalesce("system", F.lit("")))
+        run_inference(told_all, client, slots).write.mode("append").parquet(path)
     return spark.read.schema(RESPONSES).parquet(path)
 
 
+def _still_pending(
+    asked: DataFrame, stored: DataFrame, accept: Callable[[DataFrame], DataFrame], most_attempts: int | None
+) -> DataFrame:
+    """The requests of a round that it did not settle, with their next attempt; only its responses are judged."""
+    key = ["request_id", "step", "attempt"]
+    judged = accept(stored.join(asked.select(*key), key, "left_semi"))
+    settled = judged.where("valid").select("request_id", "step").distinct()
+    left = asked.join(settled, ["request_id", "step"], "left_anti")
+    todo = left.withColumn("attempt", (F.col("attempt") + 1).cast("int"))
+    return todo if most_attempts is None else todo.where(F.col("attempt") <= most_attempts)
+
+
 def rows_with_answers(rows: DataFrame, answers: DataFrame) -> DataFrame:
     """Folded answers back to every row that asked; a text asked by many rows is handled apart."""
     return skew.lookup(rows, answers, ["request_id"], "left")
