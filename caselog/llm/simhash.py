@@ -335,14 +335,21 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one row left of each near-duplicate group: that of the smallest doc_id.
 
-    Of rows that repeat this doc_id one stays. Rows with a null doc_id stay: they cannot be named.
+    Rows are told apart by doc_id and text. Of a group the smallest doc_id stays, a null one only where
+    there is no other; of several texts with this doc_id that of the smallest hash, and of rows that
+    repeat both one. So a doc_id that stands for several groups keeps a row of each.
     """
-    groups = near_duplicates(docs, doc, text)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    unnamed = extra_name(docs, "_unnamed")
-    kept = docs.join(gone, docs[doc] == gone["_gone"], "left_anti")
-    kept = kept.withColumn(unnamed, F.when(F.col(doc).isNull(), F.monotonically_increasing_id()))
-    return kept.dropDuplicates([doc, unnamed]).select(*docs.columns)
+    row = extra_name(docs, "_row")
+    named = F.struct(F.col(doc).isNull().alias("missing"), F.col(doc).alias("id"), F.xxhash64(whole_text(text)).alias("hash"))
+    known = docs.withColumn(row, named)
+    groups = near_duplicates(known, row, text)
+    best = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
+    hashed = F.xxhash64("_kept.missing", "_kept.id", "_kept.hash")
+    best = best.select(hashed.alias("_key"), "_kept")
+    key = extra_name(docs, "_key")
+    own = known.withColumn(key, F.xxhash64(F.col(f"{row}.missing"), F.col(f"{row}.id"), F.col(f"{row}.hash")))
+    same = (own[key] == best["_key"]) & own[row].eqNullSafe(best["_kept"])
+    return own.join(best, same, "left_semi").dropDuplicates([key, row]).select(*docs.columns)
 
 
 @query("op10_simhash")

@@ -369,6 +369,14 @@ def test_simhash_rows(spark, monkeypatch):
     kept = simhash.one_of_each(frame)
     assert kept.columns == frame.columns
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == sorted((0, 1, 2, 3, 6))
+    odd = [(1, "a b c d e f", 0, "x"), (2, "a b c d e f", 0, "y"), (2, "other words than these here", 0, "z")]
+    odd += [(None, "a b c d e f", 0, "n"), (None, "null alone in its group", 0, "n"), (None, "null alone in its group", 0, "m")]
+    odd += [(3, "one text", 0, "p"), (3, "quite another text", 0, "q"), (3, "one text", 0, "r")]
+    left = simhash.one_of_each(spark.createDataFrame(odd, frame.schema).repartition(3)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == [
+        (0, "null alone in its group"), (1, "a b c d e f"), (2, "other words than these here"),
+        (3, "one text"), (3, "quite another text"),
+    ]
     assert simhash.near_duplicates(frame.where("false")).count() == 0
     text = " ".join(random.Random(1).choice(words) for _ in range(5000))
     monkeypatch.setattr(simhash, "BLOCK_BYTES", 100)
