@@ -26,7 +26,7 @@ from caselog.session import cut_lineage
 LONGEST, LEAST, SHARE, TOP, MILLION = 3, 10, 50, 2000, 1_000_000
 UNKNOWN = "und"
 #: Windows are counted in chunks of so many bytes of text, and summed in buckets of so many.
-CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 4 << 20
+CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 4 << 20
 #: Blocks of so many bytes on average are packed before the shuffle, which then packs them no further.
 PACK_BYTES = 1024
 #: Candidates of one language are first ranked in so many groups.
@@ -69,7 +69,7 @@ def streams(texts: Iterable[tuple[str, bytes]], longest: int, size: int) -> Iter
                     break
                 cut = min(ends)
             held.append(text[low:cut].replace(BREAK, b" %s " % BREAK))
-            tokens = b" ".join(held)
+            tokens = b" ".join(held).strip()
             yield tokens, list(langs), True
             again = tokens[tokens.rindex(LANGUAGE) :].rsplit(maxsplit=longest - 1)[1:] if longest > 1 else []
             held, room, langs, low = [b"%s0" % LANGUAGE, *again[-(longest - 1) :]], size, {lang: 0}, cut
@@ -113,21 +113,22 @@ def count_windows(tokens: bytes, longest: int, goes_on: bool) -> tuple[pa.Array,
     """(words, language, word numbers per place, count) of the distinct windows; null words have number -1."""
     found = _split(tokens, None).dictionary_encode()
     words, code = found.dictionary, found.indices.to_numpy()
+    del found
     marks = pc.starts_with(words, LANGUAGE).to_numpy(zero_copy_only=False)
     is_word = ~(marks | pc.equal(words, BREAK).to_numpy(zero_copy_only=False))
     known = np.full(len(words), 0, np.int64)
     for at in np.flatnonzero(marks):
         known[at] = int(words[at].as_py()[1:])
-    at_mark = np.maximum.accumulate(np.where(marks[code], np.arange(len(code)), 0))
-    lead = np.flatnonzero(is_word[code])
+    at_mark = np.maximum.accumulate(np.where(marks[code], np.arange(len(code), dtype=np.int32), 0))
+    lead = np.flatnonzero(is_word[code]).astype(np.int32)
     if goes_on:
         lead = lead[(lead < len(code) - (longest - 1)) | (lead < at_mark[-1])]
-    places, inside = [code[lead].astype(np.int64)], np.ones(len(lead), bool)
-    padded = np.concatenate([np.where(is_word[code], code, -1), np.full(longest, -1)])
+    places, inside = [code[lead]], np.ones(len(lead), bool)
+    padded = np.concatenate([np.where(is_word[code], code, -1), np.full(longest, -1, np.int32)])
     for step in range(1, longest):
         following = padded[lead + step]
         inside = inside & (following >= 0)
-        places.append(np.where(inside, following, -1).astype(np.int64))
+        places.append(np.where(inside, following, -1))
     lang = known[code[at_mark[lead]]]
     order, starts = _runs(lang, *[p + 1 for p in places])
     first = order[starts]
@@ -327,7 +328,8 @@ def phrase_counts(documents: DataFrame, longest: int = LONGEST, least: int = LEA
     tasks = min(buckets, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = named.mapInArrow(_count_in_chunks(longest, buckets), BLOCK)
     for width in range(longest, 0, -1):
-        dealt = found.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+        dealt = found.repartitionById(tasks, F.pmod("bucket", F.lit(tasks)).cast("int"))
+        dealt = dealt.sortWithinPartitions("bucket")
         found = dealt.mapInArrow(_sum_level(width, least, buckets), BLOCK if width > 1 else ROWS)
     places = [f"w{i}" for i in range(longest)]
     padded = [F.coalesce(F.get("words", F.lit(i)), F.lit("")).alias(p) for i, p in enumerate(places)]
