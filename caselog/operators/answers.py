@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,45 +87,42 @@ def _kind(key: str) -> Column:
     return F.coalesce(F.try_element_at(F.col("_kinds"), F.lit(key)), F.lit("STRING"))
 
 
-def _falsy(key: str) -> Column:
+def _falsy(value: Column, kind: Column) -> Column:
     """Missing, null, empty text, false, zero, empty list or empty object."""
-    value = _value(key)
-    bare = _kind(key) != "STRING"
     return (
         value.isNull()
         | (value == "")
-        | (bare & (value.isin("false", "[]", "{}") | (nb.to_double(value) == 0)))
+        | ((kind != "STRING") & (value.isin("false", "[]", "{}") | (nb.to_double(value) == 0)))
     )
 
 
-def _number(key: str) -> Column:
+def _number(value: Column, kind: Column) -> Column:
     """Number of a JSON number, numeric text, true or false."""
-    value = _value(key)
     truth = F.when(value == "true", 1.0).when(value == "false", 0.0)
-    return F.when(_kind(key) == "BOOLEAN", truth).otherwise(nb.to_double(value))
-
-
-def _text_or_fail(key: str) -> Column:
-    """True where a truthy value is not text, which makes the attempt fail."""
-    return ~_falsy(key) & (_kind(key) != "STRING")
+    return F.when(kind == "BOOLEAN", truth).otherwise(nb.to_double(value))
 
 
 def validate(parsed: DataFrame) -> DataFrame:
     """Adds the normalized fields, `core_valid`, `valid` and `reject_reason` per attempt."""
     df = js.with_kinds(parsed, "parsed_text", "_kinds")
+    # Each expression is built once: a plan is judged anew in every round.
+    value, kind = cache(_value), cache(_kind)
+    falsy = cache(lambda key: _falsy(value(key), kind(key)))
+    number = cache(lambda key: _number(value(key), kind(key)))
+    not_text = cache(lambda key: ~falsy(key) & (kind(key) != "STRING"))
     has = lambda key: F.coalesce(F.map_contains_key("answer", F.lit(key)), F.lit(False))
-    label = F.when(_kind("clasificacion") == "STRING", tx.strip_blank(_value("clasificacion")))
+    label = F.when(kind("clasificacion") == "STRING", tx.strip_blank(value("clasificacion")))
     explanation = (
-        F.when(~_falsy("explicacion_clasificacion"), _value("explicacion_clasificacion"))
-        .when(~_falsy("explicacion"), _value("explicacion"))
+        F.when(~falsy("explicacion_clasificacion"), value("explicacion_clasificacion"))
+        .when(~falsy("explicacion"), value("explicacion"))
         .otherwise(F.lit(NO_EXPLANATION))
     )
-    bad_explanation = _text_or_fail("explicacion_clasificacion") | (
-        _falsy("explicacion_clasificacion") & _text_or_fail("explicacion")
+    bad_explanation = not_text("explicacion_clasificacion") | (
+        falsy("explicacion_clasificacion") & not_text("explicacion")
     )
     confidence = (
-        F.when(has("confianza_clasificacion"), _number("confianza_clasificacion"))
-        .when(has("confianza"), _number("confianza"))
+        F.when(has("confianza_clasificacion"), number("confianza_clasificacion"))
+        .when(has("confianza"), number("confianza"))
         .otherwise(F.lit(0.0))
     )
     reason = (
@@ -133,26 +132,26 @@ def validate(parsed: DataFrame) -> DataFrame:
         .when(bad_explanation, "explicacion")
         .when(confidence.isNull(), "confianza")
     )
-    quality = F.when(_kind("calidad_comunicativa_score") == "BOOLEAN", _number("calidad_comunicativa_score").cast("string")).otherwise(
-        _value("calidad_comunicativa_score")
+    quality = F.when(kind("calidad_comunicativa_score") == "BOOLEAN", number("calidad_comunicativa_score").cast("string")).otherwise(
+        value("calidad_comunicativa_score")
     )
     quality_text = F.coalesce(
         F.nullif(
-            tx.strip_blank(F.when(~_falsy("explicacion_calidad"), _value("explicacion_calidad"))), F.lit("")
+            tx.strip_blank(F.when(~falsy("explicacion_calidad"), value("explicacion_calidad"))), F.lit("")
         ),
         F.lit(NO_QUALITY_TEXT),
     )
-    missing = _value("elementos_faltantes")
-    missing_kind = _kind("elementos_faltantes")
+    missing = value("elementos_faltantes")
+    missing_kind = kind("elementos_faltantes")
     listed = F.transform(F.from_json(missing, "array<string>"), lambda e: F.coalesce(tx.strip_blank(e), F.lit("None")))
     missing_list = (
-        F.when(_falsy("elementos_faltantes"), F.array().cast("array<string>"))
+        F.when(falsy("elementos_faltantes"), F.array().cast("array<string>"))
         .when(missing_kind.startswith("ARRAY"), F.filter(listed, lambda e: e != ""))
         .when(missing_kind.startswith("OBJECT"), F.array().cast("array<string>"))
         .when(missing_kind == "BOOLEAN", F.array(F.initcap(missing)))
         .otherwise(F.array(missing))
     )
-    late = F.when(F.coalesce(_text_or_fail("explicacion_calidad"), F.lit(False)), "explicacion_calidad")
+    late = F.when(F.coalesce(not_text("explicacion_calidad"), F.lit(False)), "explicacion_calidad")
     checked = js.pinned(
         df,
         clasificacion=label,

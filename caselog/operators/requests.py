@@ -203,8 +203,10 @@ def answer_pending(
     spark.createDataFrame([], RESPONSES).write.mode("append").parquet(path)
     told = "system" if prompts is None else "system_key"
     asked = distinct_requests(requests.select("request_id", "step", told, "human"))
-    earlier = accept(spark.read.schema(RESPONSES).parquet(path))
-    todo = cut_lineage(pending(asked, earlier, most_attempts=most_attempts))
+    earlier = spark.read.schema(RESPONSES).parquet(path)
+    # Without earlier responses there is nothing to judge.
+    judged = earlier.withColumn("valid", F.lit(False)) if earlier.isEmpty() else accept(earlier)
+    todo = cut_lineage(pending(asked, judged, most_attempts=most_attempts))
     for number in range(1, attempts + 1):
         if number > 1:
             todo = cut_lineage(_still_pending(todo, spark.read.schema(RESPONSES).parquet(path), accept, most_attempts))
