@@ -339,17 +339,24 @@ def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
     there is no other; of several texts with this doc_id that of the smallest hash, and of rows that
     repeat both one. So a doc_id that stands for several groups keeps a row of each.
     """
-    row = extra_name(docs, "_row")
-    named = F.struct(F.col(doc).isNull().alias("missing"), F.col(doc).alias("id"), F.xxhash64(whole_text(text)).alias("hash"))
-    known = docs.withColumn(row, named)
-    groups = near_duplicates(known, row, text)
-    best = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    hashed = F.xxhash64("_kept.missing", "_kept.id", "_kept.hash")
-    best = best.select(hashed.alias("_key"), "_kept")
-    key = extra_name(docs, "_key")
-    own = known.withColumn(key, F.xxhash64(F.col(f"{row}.missing"), F.col(f"{row}.id"), F.col(f"{row}.hash")))
-    same = (own[key] == best["_key"]) & own[row].eqNullSafe(best["_kept"])
-    return own.join(best, same, "left_semi").dropDuplicates([key, row]).select(*docs.columns)
+    row, missing, name, digest = (extra_name(docs, n) for n in ("_row", "_missing", "_name", "_hash"))
+    own = docs.withColumns(
+        {
+            missing: F.col(doc).isNull(),
+            name: F.coalesce(F.col(doc).cast("string"), F.lit("")),
+            digest: F.xxhash64(whole_text(text)),
+        }
+    )
+    named = F.struct(F.col(missing).alias("missing"), F.col(doc).alias("id"), F.col(digest).alias("hash"))
+    groups = near_duplicates(own.withColumn(row, named), row, text)
+    best = groups.where(F.col("doc_id") == F.col("component_id")).select(
+        F.col("doc_id.missing").alias(missing),
+        F.coalesce(F.col("doc_id.id").cast("string"), F.lit("")).alias(name),
+        F.col("doc_id.hash").alias(digest),
+    )
+    # Repeated rows are folded before the shuffle; the join has the same keys, so texts move once.
+    key = [missing, name, digest]
+    return own.dropDuplicates(key).join(best.distinct(), key, "left_semi").select(*docs.columns)
 
 
 @query("op10_simhash")
