@@ -287,7 +287,7 @@ def test_quality_rows(spark):
     odd = [(100, "#$%^&*()#$%^&*()", "en"), (101, None, "en"), (102, "", None), (103, "the cat sat", None), (None, "the dog", "xx")]
     docs = spark.createDataFrame(good + odd + good[:1], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(100, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
-    rows = quality.judge_quality(docs, labels, quantile=1.0).collect()
+    rows = quality.judge_quality(docs, labels, quantile=1.0, rare_quantile=1.0).collect()
     assert len(rows) == 46
     keep = {r["doc_id"]: r["keep"] for r in rows}
     assert all(keep[i] for i in range(40)) and not keep[100] and not keep[101] and not keep[102]
@@ -297,6 +297,25 @@ def test_quality_rows(spark):
     assert len(unjudged) == 46 and all(r["keep"] and r["perplexity"] is None for r in unjudged)
 
 
+def test_quality_sees_a_few_odd_words_in_a_good_text(spark):
+    """Rare characters are counted by brute force; they tell what the perplexity of the whole text does not."""
+    rng = random.Random(9)
+    prose = ["".join(rng.choice(["the ", "an ", "her ", "tin ", "one ", "ate "]) for _ in range(300)) for _ in range(200)]
+    foul = prose[0][:600] + "qwyx kqvz zzkq vyqx xkwq " + prose[0][600:]
+    rows = [(i, text, "en") for i, text in enumerate(prose)] + [(500, foul, "en"), (501, prose[1], "de"), (502, foul, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(prose))], "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r for r in quality.judge_quality(docs, labels, rare_quantile=1.0).collect()}
+    assert not found[500]["keep"] and not found[502]["keep"] and found[501]["keep"]
+    assert all(found[i]["rare_share"] <= found[i]["rare_threshold"] for i in range(len(prose)))
+
+    model = quality.fit(docs.where("doc_id < 200").select("text"))
+    symbols, logs = quality.symbol_table(model.alphabet), model.logs()
+    codes = [c for piece in quality.gram_codes(foul, symbols) for c in piece.tolist()]
+    assert found[500]["rare_share"] == sum(logs[c] < -np.log(quality.ODDS) for c in codes) / len(codes)
+    assert found[500]["n_symbols"] == len(codes)
+
+
 def test_quality_counts_every_trusted_document(spark, monkeypatch):
     """More trusted documents than the 20,000 the model was once thinned to, and runs of a few n-grams."""
     monkeypatch.setattr(quality, "RUN", 1000)
@@ -321,7 +340,13 @@ def test_quality_query_matches_sql(spark, duck, folder):
 
 
 def test_quality_query_parts_good_from_bad(spark, folder):
+    """Clean are documents of quality 1 that are not toxic; insults stand in English documents only."""
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     rows = catalog.QUERIES["op3_quality"](spark, folder).join(labels, "doc_id")
-    rates = {r["quality"]: r["rate"] for r in rows.groupBy("quality").agg(F.avg(F.col("keep").cast("int")).alias("rate")).collect()}
-    assert rates[1] > 0.95 and rates[0] < 0.5
+
+    def kept(condition):
+        return rows.where(condition).agg(F.avg(F.col("keep").cast("int"))).first()[0]
+
+    assert kept("quality = 1 AND toxic = 0") > 0.95
+    assert kept("quality = 0") < 0.5
+    assert kept("quality = 1 AND toxic = 1 AND lang = 'en'") < 0.5
