@@ -282,6 +282,20 @@ def test_nearest_is_whole_for_few_long_and_stray_vectors(spark, monkeypatch, exa
         assert hits >= (1 if exact > 5 else 0.7) * sum(map(len, want.values()))
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.2, 0.7])
+def test_nearest_recall_over_skewed_lengths_in_hashed_ranges(spark, monkeypatch, spread):
+    monkeypatch.setattr(nearest, "EXACT", 300)
+    rng = np.random.default_rng(12)
+    vectors = rng.normal(size=(4_000, 64))
+    vectors *= rng.lognormal(sigma=spread, size=(4_000, 1)) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], VECTORS)
+    asked = list(range(0, len(vectors), 20))
+    got = found_by(nearest.nearest(frame, frame.where("vec_id % 20 = 0")).collect())
+    want = exact_by(vectors, asked)
+    hits = sum(len(set(want[q]) & set(got[q])) for q in want)
+    assert {len(x) for x in got.values()} == {20} and hits >= 0.9 * sum(map(len, want.values()))
+
+
 def exact_by(vectors, asked):
     return exact(list(range(len(vectors))), vectors, asked, 20)
 
