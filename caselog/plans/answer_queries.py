@@ -14,7 +14,7 @@ from caselog.operators import audit as au
 from caselog.operators import content as ct
 from caselog.operators import requests as rq
 from caselog.plans.inputs import AUDITS_SQL, NOTES_SQL, RESPONSES_SQL, audit_answers, notes, responses
-from caselog.plans.registry import query, table
+from caselog.plans.registry import query, spread, table
 from caselog.schemas import ALERTS_ANSWER, QUALITY_ANSWER, SCORE_PARTS
 from caselog.session import shared_path
 
@@ -215,7 +215,8 @@ _STEP_B = (
 
 
 def _steps(spark: SparkSession, folder: str) -> DataFrame:
-    tries = table(spark, folder, "orders").withColumn("attempt", F.explode(F.array(F.lit(1), F.lit(2))))
+    orders = spread(table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+    tries = orders.withColumn("attempt", F.explode(F.array(F.lit(1), F.lit(2))))
     both = tries.selectExpr("o_orderkey", "attempt", f"{_STEP_A} AS PROMPT_A", f"{_STEP_B} AS PROMPT_B")
     return both.selectExpr(
         "o_orderkey AS request_id", "attempt", "stack(2, 'PROMPT_A', PROMPT_A, 'PROMPT_B', PROMPT_B) AS (step, raw)"
@@ -377,7 +378,7 @@ _AUDIT_BREACHES = {
 )
 def audit_contract(spark: SparkSession, folder: str) -> DataFrame:
     raw = _contract_raw(_CONTRACT_FORMULA.format(round="bround")) + " AS raw"
-    answers = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _CONTRACT_NUMBERS.items()])
+    answers = spread(table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _CONTRACT_NUMBERS.items()]))
     return au.contract_report(au.audit_as_given(an.parse_robust(answers.selectExpr(raw))), au.audit_rules())
 
 
@@ -404,7 +405,7 @@ _NOTE_BREACHES = {
     ),
 )
 def note_contract(spark: SparkSession, folder: str) -> DataFrame:
-    answers = table(spark, folder, "orders").selectExpr(f"{_NOTE_RAW} AS raw")
+    answers = spread(table(spark, folder, "orders").select("o_orderkey")).selectExpr(f"{_NOTE_RAW} AS raw")
     return au.contract_report(au.note_as_given(an.parse_basic(answers)), au.note_rules())
 
 

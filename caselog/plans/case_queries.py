@@ -13,7 +13,7 @@ from caselog.operators import requests as rq
 from caselog.operators import timeline as tl
 from caselog.plans import sqlbits as sb
 from caselog.plans.inputs import NOTES_SQL, notes
-from caselog.plans.registry import query, table
+from caselog.plans.registry import query, spread, table
 from caselog.schemas import NOTE_HEADER
 
 
@@ -154,7 +154,7 @@ def list_scalars(spark: SparkSession, folder: str) -> DataFrame:
     + " AS t FROM documents)",
 )
 def pipe_safe_documents(spark: SparkSession, folder: str) -> DataFrame:
-    safe = table(spark, folder, "documents").select("doc_id", tx.pipe_safe(F.col("text")).alias("t"))
+    safe = spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", tx.pipe_safe(F.col("text")).alias("t"))
     return safe.select(
         "doc_id",
         F.md5("t").alias("huella"),
