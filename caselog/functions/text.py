@@ -58,8 +58,8 @@ def null_if_blank(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    flat = squeeze_strip(text)
-    return F.when(F.coalesce(flat, F.lit("")) == "", F.lit(0)).otherwise(F.size(F.split(flat, " ")))
+    """Runs of other characters than white space; null has none."""
+    return F.coalesce(F.regexp_count(text, F.lit(rf"(?U)[^{BLANK[1:-1]}]+")), F.lit(0))
 
 
 def _latin_folding() -> tuple[str, str]:

@@ -311,14 +311,18 @@ def note_as_given(parsed: DataFrame) -> DataFrame:
     return _as_given(df, numbers, texts)
 
 
+def _words_between(name: str, low: int, high: int) -> Column:
+    return tx.let(tx.word_count(F.col(name)), lambda n: n.between(low, high))
+
+
 def note_rules() -> dict[str, Column]:
     """Contract of the note answer, each rule true where it holds."""
     return {
         "clase": F.col("clasificacion").isin(CLASSES),
         "confianza_0_1": F.col("confianza").between(0, 1),
         "calidad_0_100": F.col("calidad_comunicativa_score").between(0, 100),
-        "explicacion_5_25": tx.word_count(F.col("explicacion")).between(5, 25),
-        "calidad_texto_20_60": tx.word_count(F.col("explicacion_calidad")).between(20, 60),
+        "explicacion_5_25": _words_between("explicacion", 5, 25),
+        "calidad_texto_20_60": _words_between("explicacion_calidad", 20, 60),
     }
 
 
@@ -327,11 +331,11 @@ def audit_rules(summary_low: int = 50, summary_high: int = 150) -> dict[str, Col
     rules: dict[str, Column] = {}
     for part in SCORE_PARTS:
         rules[f"{part}_0_100"] = F.col(f"{part}_score_0a100").between(0, 100)
-        rules[f"{part}_15_80"] = tx.word_count(F.col(f"{part}_justificacion")).between(15, 80)
+        rules[f"{part}_15_80"] = _words_between(f"{part}_justificacion", 15, 80)
     formula = nb.weighted([(F.col(f"{p}_score_0a100"), w) for p, w in WEIGHTS.items()])
     rules["final_0_100"] = F.col("score_final_0a100").between(0, 100)
     rules["final_formula"] = F.col("score_final_0a100") == formula
-    rules["resumen_palabras"] = tx.word_count(F.col("resumen_general")).between(summary_low, summary_high)
+    rules["resumen_palabras"] = _words_between("resumen_general", summary_low, summary_high)
     rules["confianza"] = F.col("confianza").isin(CONFIDENCE)
     rules["prefijo_nota"] = F.forall("observaciones", lambda e: e.rlike("^(Recomendación:|Nota/Supuesto:)"))
     rules["evidencia_con_fecha"] = F.forall("evidencias", lambda e: e.rlike(r"^\d{4}-\d{2}-\d{2}: .+"))

@@ -36,6 +36,8 @@ def test_first_of_list(spark):
 def test_pipe_safe_and_words(spark):
     assert apply(spark, ["a|b\n c", None], tx.pipe_safe) == ["a / b c", ""]
     assert apply(spark, ["uno  dos\ttres", " ", None], tx.word_count) == [3, 0, 0]
+    odd = ["\x1c a\x1fb", "a\x85b", "\u3000x\u3000", "… – ", "", "\u200b x"]
+    assert apply(spark, odd, tx.word_count) == [2, 2, 1, 2, 0, 2]
 
 
 def test_fold_removes_accents(spark):
