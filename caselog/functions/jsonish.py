@@ -9,8 +9,10 @@ from __future__ import annotations
 import ast
 import json
 import unicodedata
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,18 +104,29 @@ def is_other_json(text: Column) -> Column:
     return F.coalesce(F.when(text.rlike(OTHER_SHAPE), F.size(items) == 1), F.lit(False))
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
+def _changed(texts: pa.Array, wanted: pa.Array, change: Callable[[str], str | None]) -> pa.Array:
+    """The texts, the wanted ones changed.
 
+    Every text crosses to Python and back. While rows are in Python, Spark keeps them whole in a queue that
+    goes to disk, and sends more as long as the pipes take them. Nulls weigh nothing, so a task's rows
+    would all end in that queue; with their texts, the pipes fill after a few megabytes.
+    """
+    chosen = [change(text) for text in texts.filter(wanted).to_pylist()]
+    return pc.replace_with_mask(texts, wanted, pa.array(chosen, texts.type)) if chosen else texts
+
+
+@F.arrow_udf(T.StringType())
+def _nfkc(texts: pa.Array, wanted: pa.Array) -> pa.Array:
+    return _changed(texts, wanted, lambda text: unicodedata.normalize("NFKC", text))
 
-def nfkc(text: Column) -> Column:
-    """Compatibility form. Only text that may change crosses to Python; the rest travels as null.
 
-    Latin letters with accents are their own compatibility form, so Spanish text stays in the JVM.
+def nfkc(text: Column, wanted: Column | None = None) -> Column:
+    """Compatibility form of the wanted texts. Python changes only text that may change.
+
+    Latin letters with accents are their own compatibility form, so Spanish text stays as it is.
     """
-    beyond_ascii = F.octet_length(text) != F.char_length(text)
-    return F.coalesce(_nfkc(F.when(beyond_ascii & text.rlike(UNSTABLE), text)), text)
+    odd = (F.octet_length(text) != F.char_length(text)) & text.rlike(UNSTABLE)
+    return _nfkc(text, F.coalesce(odd if wanted is None else wanted & odd, F.lit(False)))
 
 
 def drop_control(text: Column) -> Column:
@@ -163,7 +176,11 @@ def _literal_to_json(source: str) -> str | None:
     return json.dumps(value, ensure_ascii=False, default=_beyond_json)
 
 
-@F.pandas_udf(T.StringType())
-def literal_json(values: pd.Series) -> pd.Series:
-    """A dictionary written as a Python literal, as JSON text. Null in, null out."""
-    return values.map(_literal_to_json, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _literals(texts: pa.Array, wanted: pa.Array) -> pa.Array:
+    return _changed(texts, wanted, _literal_to_json)
+
+
+def literal_json(text: Column, wanted: Column | None = None) -> Column:
+    """A dictionary written as a Python literal, as JSON text; null in, null out. Other texts than the wanted ones stay."""
+    return _literals(text, F.coalesce(text.isNotNull() if wanted is None else wanted & text.isNotNull(), F.lit(False)))

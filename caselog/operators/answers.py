@@ -22,13 +22,16 @@ UNPARSED_TEXT = "no se pudo parsear salida LLM"
 NO_PROMPT_TEXT = "prompt no encontrado"
 
 
-def with_basic_candidate(df: DataFrame, raw: str, name: str) -> DataFrame:
+def with_basic_candidate(df: DataFrame, raw: str, name: str, wanted: str | None = None) -> DataFrame:
     """Adds the text to read: compatibility form, no control characters, content of the first fence.
 
-    One projection per step, as each step uses the one before several times.
+    One projection per step, as each step uses the one before several times. Null where the flag
+    `wanted` is not true.
     """
-    step = df.withColumn("_form", js.nfkc(F.col(raw)))
-    step = step.withColumn("_bare", F.trim(js.drop_control(F.col("_form"))))
+    flag = None if wanted is None else F.col(wanted)
+    step = df.withColumn("_form", js.nfkc(F.col(raw), flag))
+    form = F.col("_form") if flag is None else F.when(flag, F.col("_form"))
+    step = step.withColumn("_bare", F.trim(js.drop_control(form)))
     return step.withColumn(name, tx.strip_blank(js.unfence(F.col("_bare")))).drop("_form", "_bare")
 
 
@@ -48,22 +51,27 @@ def parse_basic(responses: DataFrame) -> DataFrame:
     return found.drop("_text", "_whole", "_span", "_inner")
 
 
-def with_robust_candidate(df: DataFrame, raw: str, name: str) -> DataFrame:
-    """Adds the brace span of the cleaned text, or the raw text; plain quotes, no dangling commas."""
-    step = with_basic_candidate(df, raw, "_basic").withColumn("_span", js.braces(F.col("_basic")))
-    fixed = js.drop_trailing_commas(js.plain_quotes(F.coalesce(F.col("_span"), F.col(raw))))
+def with_robust_candidate(df: DataFrame, raw: str, name: str, wanted: str) -> DataFrame:
+    """Adds the brace span of the cleaned text, or the raw text; plain quotes, no dangling commas.
+
+    Null where the flag `wanted` is not true.
+    """
+    step = with_basic_candidate(df, raw, "_basic", wanted).withColumn("_span", js.braces(F.col("_basic")))
+    rest = F.when(F.col(wanted), F.coalesce(F.col("_span"), F.col(raw)))
+    fixed = js.drop_trailing_commas(js.plain_quotes(rest))
     return step.withColumn(name, tx.strip_blank(js.drop_control(fixed))).drop("_basic", "_span")
 
 
 def parse_robust(responses: DataFrame) -> DataFrame:
-    """Raw text first, then the repaired span, then a Python literal; only leftovers go on."""
+    """Raw text first, then the repaired span, then a Python literal; only leftovers are worked on."""
     df = js.with_object(responses, "raw", "_one")
-    open_ = F.col("_one").isNull() & ~js.is_other_json(F.col("raw"))
-    df = df.withColumn("_rest", F.when(open_, F.col("raw")))
-    df = js.with_object(with_robust_candidate(df, "_rest", "_cand"), "_cand", "_two")
+    df = js.pinned(df, _open=F.col("_one").isNull() & ~js.is_other_json(F.col("raw")))
+    df = js.with_object(with_robust_candidate(df, "raw", "_cand", "_open"), "_cand", "_two")
     left = F.col("_two").isNull() & ~js.is_other_json(F.col("_cand")) & F.col("_cand").rlike(js.OBJECT_SHAPE)
-    df = js.pinned(df, _left=F.when(left, F.col("_cand")))
-    df = js.with_object(df.withColumn("_lit", js.literal_json(F.col("_left"))), "_lit", "_three")
+    df = js.pinned(df, _left=F.coalesce(left, F.lit(False)), _cand=F.col("_cand"))
+    literal = js.literal_json(F.coalesce("_cand", "raw"), F.col("_left"))
+    df = df.withColumn("_any", literal).withColumn("_lit", F.when(F.col("_left"), F.col("_any")))
+    df = js.with_object(df, "_lit", "_three")
     tier = (
         F.when(F.col("_one").isNotNull(), 1)
         .when(F.col("_two").isNotNull(), 2)
@@ -76,7 +84,7 @@ def parse_robust(responses: DataFrame) -> DataFrame:
         .when(F.col("_three").isNotNull(), F.col("_lit"))
     )
     found = js.pinned(df, answer=F.coalesce("_one", "_two", "_three"), parse_tier=tier, parsed_text=text)
-    return found.drop("_one", "_rest", "_cand", "_two", "_left", "_lit", "_three")
+    return found.drop("_one", "_open", "_cand", "_two", "_left", "_any", "_lit", "_three")
 
 
 def _value(key: str) -> Column:

@@ -1,6 +1,7 @@
 """Operators on small fixtures: skew paths, folds, upsert, inference, sources and ingest."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -341,3 +342,12 @@ def test_audit_of_a_case_in_parts_keeps_what_each_part_says(spark, tmp_path):
     assert json.loads(result["alerta"]) == {"detectada": True, "nivel_riesgo": "ALTO"} and result["nivel_alerta"] == "ROJO"
     assert (result["score_final_0a100"], result["total_observaciones"]) == ("88", "6")
     assert json.loads(result["observaciones"]) == ["Nota/Supuesto: una", "Nota/Supuesto: primera", "Nota/Supuesto: otra"]
+
+
+def test_rows_on_their_way_through_python_weigh_their_text(spark):
+    """Rows whose arguments are null all wait in one queue, however many a task has."""
+    df = spark.createDataFrame([('{"a":1}',), ("{'a': True}",), (None,)], "raw string")
+    parsed = an.parse_robust(df)
+    sent = re.findall(r"_(?:nfkc|literals|literal_json)\((\w+)", parsed._jdf.queryExecution().optimizedPlan().toString())
+    assert sent and "CASE" not in sent
+    assert [r.parse_tier for r in parsed.collect()] == [1, 3, 0]
