@@ -14,7 +14,7 @@ from caselog.operators import audit as au
 from caselog.operators import content as ct
 from caselog.operators import requests as rq
 from caselog.plans.inputs import AUDITS_SQL, NOTES_SQL, RESPONSES_SQL, audit_answers, notes, responses
-from caselog.plans.registry import query, spread, table
+from caselog.plans.registry import dealt, query, spread, table
 from caselog.schemas import ALERTS_ANSWER, QUALITY_ANSWER, SCORE_PARTS
 from caselog.session import shared_path
 
@@ -215,7 +215,7 @@ _STEP_B = (
 
 
 def _steps(spark: SparkSession, folder: str) -> DataFrame:
-    orders = spread(table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+    orders = dealt(table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "o_orderkey")
     tries = orders.withColumn("attempt", F.explode(F.array(F.lit(1), F.lit(2))))
     both = tries.selectExpr("o_orderkey", "attempt", f"{_STEP_A} AS PROMPT_A", f"{_STEP_B} AS PROMPT_B")
     return both.selectExpr(

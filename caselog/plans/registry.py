@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,3 +36,16 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+DEALT_ROWS = 200_000
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by key to one task per core, or to so many that each has about DEALT_ROWS of them.
+
+    For steps that put a task's rows in order: their memory grows with the rows of a task, and a split
+    of a narrow table may hold millions.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, math.ceil(df.count() / DEALT_ROWS)), key)

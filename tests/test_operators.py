@@ -17,7 +17,7 @@ from caselog.operators import requests as rq
 from caselog.operators import skew
 from caselog.operators import tables as tb
 from caselog.operators import timeline as tl
-from caselog.plans import catalog, flows
+from caselog.plans import answer_queries, catalog, flows, registry
 from caselog.plans.inputs import notes, responses
 from caselog.sources import readers, writers
 from caselog.streaming import ingest
@@ -351,3 +351,11 @@ def test_rows_on_their_way_through_python_weigh_their_text(spark):
     sent = re.findall(r"_(?:nfkc|literals|literal_json)\((\w+)", parsed._jdf.queryExecution().optimizedPlan().toString())
     assert sent and "CASE" not in sent
     assert [r.parse_tier for r in parsed.collect()] == [1, 3, 0]
+
+
+def test_tasks_that_sort_attempts_have_a_bounded_share_of_the_orders(spark, folder, monkeypatch):
+    monkeypatch.setattr(registry, "DEALT_ROWS", 100)
+    steps = answer_queries._steps(spark, folder)
+    sizes = [r["count"] for r in steps.groupBy(F.spark_partition_id()).count().collect()]
+    orders = spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert sum(sizes) == 4 * orders and max(sizes) <= 2 * 100 * 4
