@@ -23,6 +23,15 @@ def strip_blank(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANK_CHARACTERS))
 
 
+def strip_cell(cell: Column) -> Column:
+    """strip_blank of a column of short cells: only those that start or end in a blank are searched.
+
+    The cell is mentioned several times, so pass a column, not a costly expression.
+    """
+    ends = [F.ascii(cell), F.ascii(F.substring(cell, -1, 1))]
+    return F.when(ends[0].between(33, 126) & ends[1].between(33, 126), cell).otherwise(strip_blank(cell))
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with the value computed once per row, however often `use` mentions it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -123,25 +123,25 @@ def clean_names(columns: list[str]) -> list[str]:
 
 
 def _is_date(value: Column) -> Column:
+    """Of text that starts like a date. No such format has a colon."""
     read = dt.parse_first(value, dt.FORMATS["column_date"])
-    return F.coalesce(F.when(value.rlike(DATE_LIKE), read.isNotNull()), F.lit(False))
+    return F.coalesce(F.when(~value.contains(":"), read.isNotNull()), F.lit(False))
 
 
 def _is_timestamp(value: Column) -> Column:
-    read = dt.parse_first(value, dt.FORMATS["column_timestamp"])
+    """Of text that starts like a date. Every listed format has a colon; the ISO form may do without."""
+    read = F.when(value.contains(":"), dt.parse_first(value, dt.FORMATS["column_timestamp"]))
     iso = F.regexp_replace(F.replace(value, F.lit("Z"), F.lit("")), r"\..*$", "")
     clock = F.coalesce(F.nullif(F.substring(F.replace(iso, F.lit("T"), F.lit(" ")), 1, 19), F.lit("")), F.lit(""))
     flexible = iso.rlike(ISO_TIME) & F.to_date(F.substring(clock, 1, 10).try_cast("timestamp")).isNotNull()
-    return F.coalesce(
-        F.when(value.rlike(DATE_LIKE), read.isNotNull() | flexible), F.lit(False)
-    )
+    return F.coalesce(read.isNotNull() | flexible, F.lit(False))
 
 
 def column_types(df: DataFrame) -> DataFrame:
     """posicion, columna, tipo of text columns, one aggregation pass over all rows of all columns."""
     names = clean_names(df.columns)
     text = df.toDF(*names).select(
-        *[F.nullif(tx.strip_blank(F.col(f"`{n}`").cast("string")), F.lit("")).alias(n) for n in names]
+        *[F.nullif(tx.strip_cell(F.col(f"`{n}`").cast("string")), F.lit("")).alias(n) for n in names]
     )
     return _types_of(text, names, 0)
 
@@ -150,18 +150,41 @@ def column_types(df: DataFrame) -> DataFrame:
 INT, REAL, BOOL, DATE, TIME, STAMP, SMALL, LONG = (1 << i for i in range(8))
 
 
+#: From this code point on no text starts a number, date or time, except inf and nan.
+AFTER_DIGITS = ord("9") + 1
+
+
+def _size_bits(digits: Column) -> Column:
+    """SMALL and LONG of a whole number as text; a cast that fails costs more than all other tests."""
+    bare = F.regexp_replace(digits, "^[+-]?0*", "")
+    wide = F.length(digits) > 18
+    number = F.when(~wide, digits.try_cast("long"))
+    exact = F.when(wide & (F.length(bare) <= 19), digits.try_cast("decimal(38,0)"))
+    return (
+        F.when((F.length(digits) <= 9) | number.between(-(2**31), 2**31 - 1), SMALL | LONG)
+        .when(~wide, LONG)
+        .when(exact.between(-(2**31), 2**31 - 1), SMALL | LONG)
+        .when(exact.between(-(2**63), 2**63 - 1), LONG)
+        .otherwise(0)
+    )
+
+
 def _type_bits(value: Column) -> Column:
-    """Bits of the types the text can be read as; the first matching shape decides what is tried."""
-    number = F.replace(value, F.lit("_"), F.lit("")).try_cast("long")
-    size = F.when(number.between(-(2**31), 2**31 - 1), SMALL | LONG).when(number.isNotNull(), LONG).otherwise(0)
-    whole = F.lit(INT | REAL) + F.when(value.isin("0", "1"), BOOL).otherwise(0) + size
+    """Bits of the types the text can be read as. The shapes exclude each other, so the first match decides;
+    cheap tests come first, as each pattern costs more than all of them."""
+    digits = F.replace(value, F.lit("_"), F.lit(""))
+    whole = F.lit(INT | REAL) + F.when(value.isin("0", "1"), BOOL).otherwise(0) + _size_bits(digits)
     dated = F.when(_is_date(value), DATE).otherwise(0) + F.when(_is_timestamp(value), STAMP).otherwise(0)
+    start = F.ascii(value)
+    inf_or_nan = start.isin(*map(ord, "iInN")) & value.rlike(nb.NUMBER)
+    word = F.when(inf_or_nan, REAL).when(value.rlike(TRUTH), BOOL).otherwise(0)
+    plain = F.when(value.contains("_"), F.regexp_replace(value, r"(?<=\d)_(?=\d)", "")).otherwise(value)
     bits = (
-        F.when(value.rlike(WHOLE), whole)
-        .when(F.regexp_replace(value, r"(?<=\d)_(?=\d)", "").rlike(nb.NUMBER), REAL)
-        .when(value.rlike(TRUTH), BOOL)
+        F.when(start >= AFTER_DIGITS, word)
+        .when(value.rlike(WHOLE), whole)
         .when(value.rlike(DATE_LIKE), dated)
-        .when(value.rlike(TIME_OF_DAY), TIME)
+        .when(value.contains(":"), F.when(value.rlike(TIME_OF_DAY), TIME).otherwise(0))
+        .when(plain.rlike(nb.NUMBER), REAL)
         .otherwise(0)
     )
     return F.when(value.isNotNull(), bits)
@@ -201,9 +224,13 @@ def _types_of(text: DataFrame, names: list[str], start: int) -> DataFrame:
     return row.select(F.explode(items).alias("t")).select("t.*")
 
 
-def _typed(raw: Column, kind: str) -> Column:
-    """The cell as its column's type; null where it does not fit."""
-    value = F.nullif(tx.strip_blank(raw), F.lit(""))
+def _bare(raw: Column, kind: str, strip: Callable[[Column], Column] = tx.strip_blank) -> Column:
+    """The cell as it is read: text as given, all else without blanks around it."""
+    return raw if kind == "TEXT" else F.nullif(strip(raw), F.lit(""))
+
+
+def _typed(value: Column, kind: str) -> Column:
+    """The bare cell as its column's type; null where it does not fit."""
     digits = F.replace(value, F.lit("_"), F.lit(""))
     return {
         "INTEGER": digits.try_cast("int"),
@@ -211,9 +238,8 @@ def _typed(raw: Column, kind: str) -> Column:
         "DOUBLE PRECISION": digits.try_cast("double"),
         "BOOLEAN": F.when(value.rlike(TRUTH), value.rlike(r"(?i)^(true|t|yes|y|1)$")),
         "DATE": dt.parse_first(value, dt.FORMATS["column_date"]).cast("date"),
-        "TIME": value,
         "TIMESTAMP": F.coalesce(dt.parse_first(value, dt.FORMATS["column_timestamp"]), value.try_cast("timestamp")),
-    }.get(kind, raw)
+    }.get(kind, value)
 
 
 def apply_types(df: DataFrame, types: DataFrame) -> DataFrame:
@@ -221,7 +247,9 @@ def apply_types(df: DataFrame, types: DataFrame) -> DataFrame:
     found = {r["posicion"]: (r["columna"], r["tipo"]) for r in types.collect()}
     named = [found[i] for i in range(len(df.columns))]
     text = df.toDF(*[name for name, _kind in named])
-    return text.select(*[_typed(F.col(name).cast("string"), kind).alias(name) for name, kind in named])
+    # Cells are stripped in their own projection, as formats mention them many times.
+    bare = text.select(*[_bare(F.col(name).cast("string"), kind, tx.strip_cell).alias(name) for name, kind in named])
+    return bare.select(*[_typed(F.col(name), kind).alias(name) for name, kind in named])
 
 
 STORED_KINDS = {
@@ -252,7 +280,7 @@ def fit_to(df: DataFrame, schema: T.StructType) -> DataFrame:
         if field.name not in names:
             values.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
-        typed = _typed(F.col(field.name), STORED_KINDS[kind])
+        typed = _typed(_bare(F.col(field.name), STORED_KINDS[kind]), STORED_KINDS[kind])
         values.append(typed.alias(field.name))
         misfits.append(F.when(~tx.is_blank(F.col(field.name)) & typed.isNull(), F.lit(field.name)))
     return text.select(*values, F.coalesce(*misfits).alias("motivo"), F.to_json(F.struct(*names)).alias("_texto"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caselog.functions import text as tx
 from caselog.operators import answers as an
 from caselog.operators import audit as au
 from caselog.operators import contact as co
@@ -359,3 +360,17 @@ def test_tasks_that_sort_attempts_have_a_bounded_share_of_the_orders(spark, fold
     sizes = [r["count"] for r in steps.groupBy(F.spark_partition_id()).count().collect()]
     orders = spark.read.parquet(f"{folder}/orders.parquet").count()
     assert sum(sizes) == 4 * orders and max(sizes) <= 2 * 100 * 4
+
+
+def test_no_cell_is_cast_to_find_that_it_does_not_fit(spark):
+    """A failed cast costs more than all other tests of a cell."""
+    values = ["-2147483648", "2147483648", "-9223372036854775808", "9223372036854775808", "0" * 30 + "7", "9" * 20, "1_000", "+5"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    bits = df.select(tx.let(F.col("v"), tb._type_bits).alias("b"))
+    sizes = [r.b & (tb.SMALL | tb.LONG) for r in bits.collect()]
+    both = tb.SMALL | tb.LONG
+    assert sizes == [both, tb.LONG, tb.LONG, 0, both, 0, both, both]
+    plan = bits._jdf.queryExecution().optimizedPlan().toString()
+    assert "length(" in plan.split("cast(")[0]
+    cells = spark.createDataFrame([(v,) for v in [" a ", "\u00a0b", "c\x1f", "é\u2003", "d", "", None, " "]], "v string")
+    assert [r[0] for r in cells.select(tx.strip_cell(F.col("v"))).collect()] == ["a", "b", "c", "é", "d", "", None, ""]
