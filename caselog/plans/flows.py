@@ -12,6 +12,7 @@ from caselog.operators import audit as au
 from caselog.operators import notes as nt
 from caselog.operators import requests as rq
 from caselog.schemas import NOTE_HEADER
+from caselog.session import written
 
 # The catalog keys of the three prompts.
 NOTE_PROMPT = "observaciones_clasificacion_prompt"
@@ -55,12 +56,13 @@ def audit_cases(
 
     Both steps get the same text, in several requests where a case comes in parts; the answers of the
     parts are folded key by key (`audit.fold_values`), weighted by their events, before the steps are merged. A step without a readable answer leaves its failure marker; a case
-    without note text is not sent.
+    without note text is not sent. The cases are gathered once and written to the shared folder, as requests,
+    the count of hot texts and both kinds of result read them.
     """
     human = rq.case_text(cases)
-    texts = cases.withColumn("request_id", F.when(
+    texts = written(cases.withColumn("request_id", F.when(
         F.col("observaciones_unidas") != "", rq.request_id(F.lit("CASO"), F.lit(version), human)
-    ))
+    )), "cases")
     steps = F.array(*[F.struct(F.lit(s).alias("step"), F.lit(k).alias("system_key")) for s, k in STEP_PROMPTS.items()])
     asked = texts.where(F.col("request_id").isNotNull()).select(
         "request_id", human.alias("human"), F.explode(steps).alias("s")

@@ -374,3 +374,23 @@ def test_no_cell_is_cast_to_find_that_it_does_not_fit(spark):
     assert "length(" in plan.split("cast(")[0]
     cells = spark.createDataFrame([(v,) for v in [" a ", "\u00a0b", "c\x1f", "é\u2003", "d", "", None, " "]], "v string")
     assert [r[0] for r in cells.select(tx.strip_cell(F.col("v"))).collect()] == ["a", "b", "c", "é", "d", "", None, ""]
+
+
+def test_cases_are_gathered_once_for_requests_and_results(spark, folder):
+    """The result reads the written cases; what it took to gather them is not repeated."""
+    for name in ("audited_cases", "audited_cases_in_parts"):
+        files = catalog.QUERIES[name](spark, folder).inputFiles()
+        assert files and not any("events.parquet" in f for f in files)
+
+
+def test_cleaning_of_notes_is_generated_as_methods_that_java_compiles(spark, folder):
+    """Java only interprets methods of more than 8,000 bytes."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = catalog.QUERIES["unified_cases"](spark, folder)._jdf.queryExecution()
+        shown = spark.sparkContext._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
+    assert sizes and max(sizes) <= 8000
