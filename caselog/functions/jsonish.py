@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STRICT = {"allowSingleQuotes": "false"}
-# Text of any other shape cannot be such JSON. Asking first is cheaper than a failed read.
 OBJECT_SHAPE = r"(?s)^\s*\{.*\}\s*$"
-OTHER_SHAPE = r"^\s*[\[\"\-0-9tfnNI]"
+# Text of any other shape cannot be such JSON: an object goes on with a quote and never ends in a comma.
+# Asking first is cheaper than a failed read, which raises errors within Spark.
+JSON_OBJECT = r"(?s)^\s*\{\s*(?:\}|\".*[^,\s]\s*\})\s*$"
+OTHER_SHAPE = r"(?s)^\s*(?:\[.*\]|\".*\"|-?[0-9][0-9.eE+\-]*|-?INF|-?Infinity|NaN|true|false|null)\s*$"
 
 
 def _ranges(codes: set[int]) -> str:
@@ -64,26 +66,48 @@ def _last_wins(entries: Column) -> Column:
     return F.when(repeated, F.map_from_entries(kept)).otherwise(entries)
 
 
-def _read_once(df: DataFrame, text: str, kind: str, name: str) -> DataFrame:
-    """Column `name`: the one object that `text` is. Each step is its own projection, so the costly
-    read happens once per row however often its result is used."""
-    items, first = f"_{name}_items", f"_{name}_first"
-    likely = F.when(F.col(text).rlike(OBJECT_SHAPE), F.col(text))
-    read = df.withColumn(items, F.from_json(_in_list(likely), f"array<map<string,{kind}>>", STRICT))
-    read = read.withColumn(first, F.when(F.size(items) == 1, F.get(items, F.lit(0))))
-    return read.withColumn(name, _last_wins(F.col(first))).drop(items, first)
+def with_items(df: DataFrame, text: str, kind: str | T.DataType, name: str) -> DataFrame:
+    """Adds the objects that `text` lists. A projection of its own, so the costly read happens once per row
+    however often its result is used."""
+    likely = F.when(F.col(text).rlike(JSON_OBJECT), F.col(text))
+    schema = f"array<{kind}>" if isinstance(kind, str) else T.ArrayType(kind)
+    return df.withColumn(name, F.from_json(_in_list(likely), schema, STRICT))
+
+
+TEXTS = "map<string,string>"
+
+
+def has_object(items: str) -> Column:
+    """True where the list of objects holds exactly one."""
+    return F.coalesce((F.size(items) == 1) & F.get(items, F.lit(0)).isNotNull(), F.lit(False))
+
+
+def only_object(items: str) -> Column:
+    """The one object of a list of maps, else null."""
+    return F.when(F.size(items) == 1, _last_wins(F.get(items, F.lit(0))))
 
 
 def with_object(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds map<string,string> of text that is exactly one JSON object, else null."""
-    return _read_once(df, text, "string", name)
+    items = f"_{name}_items"
+    return with_items(df, text, TEXTS, items).withColumn(name, only_object(items)).drop(items)
+
 
+def with_kinds(df: DataFrame, text: str, name: str, keys: list[str] | None = None) -> DataFrame:
+    """Adds the JSON type per key of an object: STRING, BIGINT, BOOLEAN, VOID, ARRAY..., OBJECT...
 
-def with_kinds(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds the JSON type per key of an object: STRING, BIGINT, BOOLEAN, VOID, ARRAY..., OBJECT..."""
-    read = _read_once(df, text, "variant", f"_{name}_variants")
-    kinds = F.transform_values(f"_{name}_variants", lambda _, v: F.schema_of_variant(v))
-    return pinned(read.drop(name), **{name: kinds}).drop(f"_{name}_variants")
+    A map of all keys, or a struct of the wanted ones: then no other value is read, and a missing key gives null.
+    """
+    items, first = f"_{name}_items", f"_{name}_first"
+    if keys is None:
+        read = with_items(df, text, "map<string,variant>", items).withColumn(first, only_object(items))
+        kinds = F.transform_values(first, lambda _, v: F.schema_of_variant(v))
+        return pinned(read, **{name: kinds}).drop(items, first)
+    wanted = T.StructType([T.StructField(key, T.VariantType()) for key in keys])
+    read = with_items(df, text, wanted, items)
+    read = read.withColumn(first, F.when(F.size(items) == 1, F.get(items, F.lit(0))))
+    kinds = F.struct(*[F.schema_of_variant(F.col(first)[key]).alias(key) for key in keys])
+    return read.withColumn(name, kinds).drop(items, first)
 
 
 def pinned(df: DataFrame, **values: Column) -> DataFrame:
@@ -135,7 +159,7 @@ def drop_control(text: Column) -> Column:
 
 def unfence(text: Column) -> Column:
     """Content of the first fenced block, or the text itself."""
-    return F.when(text.rlike(FENCE), F.trim(F.regexp_extract(text, FENCE, 1))).otherwise(text)
+    return F.when(text.contains("```") & text.rlike(FENCE), F.trim(F.regexp_extract(text, FENCE, 1))).otherwise(text)
 
 
 def braces(text: Column) -> Column:
@@ -144,7 +168,9 @@ def braces(text: Column) -> Column:
 
 
 def plain_quotes(text: Column) -> Column:
-    return F.translate(text, "".join(SMART_QUOTES), "".join(SMART_QUOTES.values()))
+    """The text is mentioned several times, so pass a column, not a costly expression."""
+    plain = F.translate(text, "".join(SMART_QUOTES), "".join(SMART_QUOTES.values()))
+    return F.when(F.octet_length(text) != F.char_length(text), plain).otherwise(text)
 
 
 def drop_trailing_commas(text: Column) -> Column:

@@ -12,7 +12,7 @@ NUMBER = r"(?i)^\s*[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(inf|infini
 
 def to_double(text: Column) -> Column:
     """A number written as text; null for anything else, suffixes such as 1d included."""
-    bare = F.regexp_replace(text, '^"|"$', "")
+    bare = F.when(text.contains('"'), F.regexp_replace(text, '^"|"$', "")).otherwise(text)
     return F.when(bare.rlike(NUMBER), bare.try_cast("double"))
 
 
@@ -25,14 +25,19 @@ def half_even(value: Column) -> Column:
     return F.bround(value, 0)
 
 
-def score_0_100(text: Column) -> Column:
-    """Half-even whole number in 0..100; unreadable, infinite or NaN gives 0."""
+def score_of(number: Column) -> Column:
+    """Half-even whole number in 0..100; null, infinite or NaN gives 0.
+
+    The number is mentioned several times, so pass a column, not a costly expression.
+    """
+    usable = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
+    bounded = clamp(F.rint(clamp(number, -1.0, 101.0)), 0.0, 100.0).cast("int")
+    return F.when(usable, bounded).otherwise(F.lit(0))
 
-    def bounded(number: Column) -> Column:
-        usable = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
-        return F.when(usable, clamp(half_even(clamp(number, -1.0, 101.0)), 0.0, 100.0).cast("int"))
 
-    return F.coalesce(let(to_double(text), bounded), F.lit(0))
+def score_0_100(text: Column) -> Column:
+    """The same of a number written as text; unreadable text gives 0."""
+    return let(to_double(text), score_of)
 
 
 def weighted(parts: list[tuple[Column, int]]) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import re
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -35,31 +36,44 @@ def _value(key: str) -> Column:
 
 
 def _kind(key: str) -> Column:
-    return F.coalesce(F.try_element_at(F.col("_kinds"), F.lit(key)), F.lit("STRING"))
+    return F.coalesce(F.col("_kinds")[key], F.lit("STRING"))
+
+
+def _has(key: str) -> Column:
+    return F.coalesce(F.map_contains_key("answer", F.lit(key)), F.lit(False))
 
 
 def _text(key: str, default: str) -> Column:
     """Value as text; an explicit null reads None, a missing key takes the default."""
-    has = F.coalesce(F.map_contains_key("answer", F.lit(key)), F.lit(False))
-    return F.when(has, F.coalesce(_value(key), F.lit("None"))).otherwise(F.lit(default))
+    return F.coalesce(_value(key), F.when(_has(key), F.lit("None")).otherwise(F.lit(default)))
 
 
-def _list(key: str, default: list[str], most: int | None) -> Column:
-    has = F.coalesce(F.map_contains_key("answer", F.lit(key)), F.lit(False))
-    value, kind = _value(key), _kind(key)
+def _list(key: str, value: Column, default: list[str], most: int | None) -> Column:
+    kind = _kind(key)
     parsed = F.filter(F.from_json(value, "array<string>"), lambda e: e.isNotNull())
     single = F.when((kind == "STRING") & ~tx.is_blank(value), F.array(tx.strip_blank(value)))
     items = F.when(kind.startswith("ARRAY"), parsed).otherwise(single)
     empty = F.array().cast("array<string>")
     fallback = F.array(*[F.lit(d) for d in default]) if default else empty
-    whole = F.when(has, F.coalesce(items, empty)).otherwise(fallback)
+    whole = F.when(value.isNotNull(), F.coalesce(items, empty)).when(_has(key), empty).otherwise(fallback)
     return whole if most is None else F.slice(whole, 1, most)
 
 
-def _score(key: str) -> Column:
-    value = _value(key)
+def _score_text(key: str, value: Column) -> Column:
     truth = F.when(value == "true", "1").otherwise("0")
-    return nb.score_0_100(F.when(_kind(key) == "BOOLEAN", truth).otherwise(value))
+    return F.when(_kind(key) == "BOOLEAN", truth).otherwise(value)
+
+
+def _kind_matters(numbers: list[str], lists: list[str]) -> Column:
+    """False where each value reads alike whether it was a text or not: no flag, no zero, no list.
+
+    Such answers need not be read a second time for the types of their values.
+    """
+    flags = [F.col(f"_{key}").isin("true", "false") for key in numbers]
+    no_text = [F.col(f"_{key}").rlike(r'^[\[{"+\-0-9tfnNI]') for key in lists]
+    final = F.col("_score_final_0a100")
+    cases = [*flags, *no_text, final.isin("[]", "{}"), final.contains("0")]
+    return reduce(Column.__or__, [F.coalesce(case, F.lit(False)) for case in cases])
 
 
 def mean_score(parts: list[Column]) -> Column:
@@ -73,28 +87,39 @@ def sanitize(parsed: DataFrame, most_evidence: int | None = None, most_remarks:
 
     Lists are kept whole unless a limit is asked for.
     """
-    df = js.with_kinds(parsed, "parsed_text", "_kinds")
-    scores = {f"{p}_score_0a100": _score(f"{p}_score_0a100") for p in SCORE_PARTS}
-    df = js.pinned(df, **scores)
-    final = _value("score_final_0a100")
-    falsy = (
-        final.isNull()
-        | (final == "")
-        | ((_kind("score_final_0a100") != "STRING") & (final.isin("false", "[]", "{}") | (nb.to_double(final) == 0)))
-    )
-    confidence = F.lower(_text("confianza", "baja"))
+    scores = [f"{p}_score_0a100" for p in SCORE_PARTS]
+    numbers, lists = [*scores, "score_final_0a100"], ["evidencias", "observaciones"]
+    texts = {"resumen_general": DEFAULT_SUMMARY} | {f"{p}_justificacion": DEFAULT_JUSTIFICATION for p in SCORE_PARTS}
+    # One projection per step, as each step uses the one before several times. Numbers and texts are read next
+    # to the lists: a projection with a lambda is generated as many small methods. Elsewhere they would make one
+    # of more than 8,000 bytes, and Java only interprets such a method.
+    df = parsed.withColumns({f"_{key}": _value(key) for key in numbers + lists})
+    df = js.with_kinds(df.withColumn("_asked", F.when(_kind_matters(numbers, lists), F.col("parsed_text"))), "_asked", "_kinds", numbers + lists)
+    final, typed = F.col("_score_final_0a100"), _kind("score_final_0a100") != "STRING"
+    read = {f"_{key}": _score_text(key, F.col(f"_{key}")) for key in numbers}
+    empty = final.isNull() | (final == "") | (typed & final.isin("false", "[]", "{}"))
+    df = df.withColumns(read | {"_no_final": F.coalesce(empty, F.lit(False))})
     known = AUDIT_FLAT.fieldNames()
+    read = {f"_{key}": nb.to_double(F.col(f"_{key}")) for key in numbers}
+    read["_evidencias"] = _list("evidencias", F.col("_evidencias"), [], most_evidence)
+    read["_observaciones"] = _list("observaciones", F.col("_observaciones"), [DEFAULT_REMARK], most_remarks)
+    read |= {key: _text(key, default) for key, default in texts.items()}
+    read["_confianza"] = F.lower(_text("confianza", "baja"))
+    read["extras"] = F.map_filter("answer", lambda k, _: ~k.isin(known))
+    df = df.withColumns(read | {"_typed": typed})
+    zero = F.coalesce(F.col("_typed") & (final == 0), F.lit(False))
+    df = df.withColumns({key: nb.score_of(F.col(f"_{key}")) for key in scores} | {"_no_final": F.col("_no_final") | zero})
     clean = js.pinned(
         df,
-        resumen_general=_text("resumen_general", DEFAULT_SUMMARY),
-        **{f"{p}_justificacion": _text(f"{p}_justificacion", DEFAULT_JUSTIFICATION) for p in SCORE_PARTS},
-        score_final_0a100=F.when(falsy, mean_score([F.col(c) for c in scores])).otherwise(_score("score_final_0a100")),
-        evidencias=_list("evidencias", [], most_evidence),
-        observaciones=_list("observaciones", [DEFAULT_REMARK], most_remarks),
-        confianza=F.when(confidence.isin(CONFIDENCE), confidence).otherwise(F.lit("baja")),
-        extras=F.map_filter("answer", lambda k, _: ~k.isin(known)),
+        **{key: F.col(key) for key in scores},
+        **{key: F.col(key) for key in texts},
+        score_final_0a100=F.when(F.col("_no_final"), mean_score([F.col(c) for c in scores])).otherwise(nb.score_of(final)),
+        evidencias=F.col("_evidencias"),
+        observaciones=F.col("_observaciones"),
+        confianza=F.when(F.col("_confianza").isin(CONFIDENCE), F.col("_confianza")).otherwise(F.lit("baja")),
+        extras=F.col("extras"),
     )
-    return clean.drop("_kinds")
+    return clean.drop("_kinds", "_no_final", "_typed", "_asked", "_confianza", *[f"_{key}" for key in numbers + lists])
 
 
 def _default_columns(overrides: dict[str, Column]) -> list[Column]:
@@ -290,7 +315,7 @@ def _as_given(df: DataFrame, numbers: dict[str, Column], texts: dict[str, Column
 
 def audit_as_given(parsed: DataFrame) -> DataFrame:
     """The flat audit answer in its types, neither clamped nor completed: what the contract is checked on."""
-    df = js.with_kinds(parsed, "parsed_text", "_kinds")
+    df = js.with_kinds(parsed, "parsed_text", "_kinds", ["evidencias", "observaciones"])
     scores = [f"{p}_score_0a100" for p in SCORE_PARTS] + ["score_final_0a100"]
     texts = ["resumen_general", "confianza", *[f"{p}_justificacion" for p in SCORE_PARTS]]
     return _as_given(df, {k: _value(k) for k in scores}, {k: _value(k) for k in texts}, ["evidencias", "observaciones"])
@@ -298,7 +323,6 @@ def audit_as_given(parsed: DataFrame) -> DataFrame:
 
 def note_as_given(parsed: DataFrame) -> DataFrame:
     """The note answer in its types, neither clamped nor completed."""
-    df = js.with_kinds(parsed, "parsed_text", "_kinds")
     numbers = {
         "confianza": F.coalesce(_value("confianza_clasificacion"), _value("confianza")),
         "calidad_comunicativa_score": _value("calidad_comunicativa_score"),
@@ -308,7 +332,7 @@ def note_as_given(parsed: DataFrame) -> DataFrame:
         "explicacion": F.coalesce(_value("explicacion_clasificacion"), _value("explicacion")),
         "explicacion_calidad": _value("explicacion_calidad"),
     }
-    return _as_given(df, numbers, texts)
+    return _as_given(parsed, numbers, texts)
 
 
 def _words_between(name: str, low: int, high: int) -> Column:

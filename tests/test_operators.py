@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caselog.functions import jsonish as js
 from caselog.functions import text as tx
 from caselog.operators import answers as an
 from caselog.operators import audit as au
@@ -394,3 +395,48 @@ def test_cleaning_of_notes_is_generated_as_methods_that_java_compiles(spark, fol
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
     assert sizes and max(sizes) <= 8000
+
+
+def test_sanitize_reads_numbers_without_lambdas_and_only_the_kinds_it_needs(spark, folder):
+    """A lambda's inside is interpreted row by row, and types of other keys take a read of all their values."""
+    plan = catalog.QUERIES["sanitized_audits"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(array(" not in plan and "MapType(StringType,VariantType" not in plan
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("sanitized_audits", "final_score_fallback"):
+            plan = catalog.QUERIES[name](spark, folder)._jdf.queryExecution()
+            shown = spark.sparkContext._jvm.PythonSQLUtils.explainString(plan, "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
+            assert sizes and max(sizes) <= 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_sanitize_tells_values_from_texts_that_look_like_them(spark):
+    key = "informatividad_score_0a100"
+    answers = {
+        f'{{"{key}":true,"evidencias":"[1]","score_final_0a100":"0"}}': (1, 0, ["[1]"]),
+        f'{{"{key}":"true","evidencias":[1,null,"x"],"score_final_0a100":0}}': (0, 0, ["1", "x"]),
+        f'{{"{key}":50,"evidencias":5,"score_final_0a100":false}}': (50, 10, []),
+        f'{{"{key}":"50","evidencias":"5","score_final_0a100":"false"}}': (50, 0, ["5"]),
+        f'{{"{key}":"\\"62.5\\"","evidencias":null,"score_final_0a100":"[]"}}': (62, 0, []),
+        f'{{"{key}":1e999,"evidencias":{{"a":1}},"score_final_0a100":[]}}': (0, 0, []),
+        f'{{"{key}":-7,"evidencias":" dos ","score_final_0a100":true}}': (0, 1, ["dos"]),
+    }
+    rows = spark.createDataFrame([(text,) for text in answers], "raw string")
+    read = au.sanitize(an.parse_robust(rows)).select("raw", key, "score_final_0a100", "evidencias").collect()
+    assert {r[0]: tuple(r[1:]) for r in read} == answers
+
+
+def test_text_that_cannot_be_json_is_not_read_as_such(spark):
+    texts = ["{'a':1}", '{"a":1 , }', '{ "a":{} } ', "{ }", '{"a":"{,}"}', "{,}", '{"a":1} x', '{"a":1},{"b":2}']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    likely = [r[0] for r in rows.select(F.col("t").rlike(js.JSON_OBJECT)).collect()]
+    assert likely == [False, False, True, True, True, False, False, True]
+    assert [r["m"] for r in js.with_object(rows, "t", "m").collect()] == [None, None, {"a": "{}"}, {}, {"a": "{,}"}, None, None, None]
+    others = ["nulo", "no es json", " null ", "-Infinity", "-1.5e3", '"a', "[1", "[1] x", "[{}]", '"a"', "1,2", "NaN", "true"]
+    rows = spark.createDataFrame([(t,) for t in others], "t string")
+    assert [r[0] for r in rows.select(js.is_other_json(F.col("t"))).collect()] == [
+        False, False, True, True, True, False, False, False, True, True, False, True, True,
+    ]
