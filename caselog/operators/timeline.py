@@ -63,25 +63,7 @@ def timeline_parts(
         result = whole.select(*keys, *one, "total", "texto")
     if hot is not None:
         ranked = skew.ordered_chunks(hot, keys + order, TEXT_CHUNK_BITS)
-        chunks = cut_lineage(
-            ranked.groupBy(*keys, "_chunk").agg(
-                F.count(text).alias("_events"),
-                F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("_bytes"),
-                _joined(["_rank"], text, separator).alias("texto"),
-            )
-        )
-        pieces = F.when(F.col("_events") > 0, F.size(F.split("texto", r"\|"))).otherwise(F.lit(0)).alias("_pieces")
-        placed = _parts_of(chunks.select(*keys, "_chunk", "_events", "_bytes", pieces), keys, part_bytes)
-        named = placed.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_chunk").alias("_at"), *PART_COLUMNS)
-        same = F.col("_chunk") == F.col("_at")
-        for key in keys:
-            same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-        parts = chunks.join(named, same).groupBy(*keys, "parte").agg(
-            F.first("partes").alias("partes"),
-            F.min("piezas_antes").alias("piezas_antes"),
-            F.first("total").alias("total"),
-            _joined(["_chunk"], "texto", separator).alias("texto"),
-        )
+        parts = _joined_parts(_text_chunks(ranked, keys, text, separator), keys, separator, part_bytes)
         result = parts if result is None else result.unionByName(parts)
     return result
 
@@ -89,6 +71,37 @@ def timeline_parts(
 PART_COLUMNS = ["parte", "partes", "piezas_antes", "total"]
 
 
+def _text_chunks(
+    ranked: DataFrame, keys: list[str], text: str, separator: str, first: list[str] = ()
+) -> DataFrame:
+    """Per key and chunk: _rows, _events, _bytes, texto and, where `first` is asked for, its least values as a struct."""
+    return cut_lineage(
+        ranked.groupBy(*keys, "_chunk").agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.count(text).alias("_events"),
+            F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("_bytes"),
+            *([F.min(F.struct(*first)).alias("_first")] if first else []),
+            _joined(["_rank"], text, separator).alias("texto"),
+        )
+    )
+
+
+def _joined_parts(chunks: DataFrame, keys: list[str], separator: str, part_bytes: int) -> DataFrame:
+    """The chunks of each key joined to parts: keys, parte, partes, piezas_antes, total, texto."""
+    pieces = F.when(F.col("_events") > 0, F.size(F.split("texto", r"\|"))).otherwise(F.lit(0)).alias("_pieces")
+    placed = _parts_of(chunks.select(*keys, "_chunk", "_events", "_bytes", pieces), keys, part_bytes)
+    named = placed.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_chunk").alias("_at"), *PART_COLUMNS)
+    same = F.col("_chunk") == F.col("_at")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    return chunks.join(named, same).groupBy(*keys, "parte").agg(
+        F.first("partes").alias("partes"),
+        F.min("piezas_antes").alias("piezas_antes"),
+        F.first("total").alias("total"),
+        _joined(["_chunk"], "texto", separator).alias("texto"),
+    )
+
+
 def _parts_of(chunks: DataFrame, keys: list[str], part_bytes: int) -> DataFrame:
     """The part of each chunk that has text, or of one chunk of a key that has none."""
     key = Window.partitionBy(*keys)
@@ -118,7 +131,12 @@ def unify_cases(
     separator: str = SEPARATOR,
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """One row per case, or per part of its text, with first descriptors, counts and timeline."""
+    """One row per case, or per part of its text, with first descriptors, counts and timeline.
+
+    Notes of big cases are put in order by their cleaned key and date. The other cells cross uncleaned,
+    as Spark computes rows twice to order them; they are cleaned once after, and the chunks hold text,
+    descriptors and counts alike.
+    """
     events = note_events(notes, ordinal)
     order = ["fecha_dt", "fecha_obs_norm", ordinal]
     heavy = big_cases(events, CASE_KEY, "evento", part_bytes)
@@ -136,7 +154,10 @@ def unify_cases(
         *PART_COLUMNS[:3],
         F.col("texto").alias("observaciones_unidas"),
     ]
-    normal, hot = skew.split_heavy(events, CASE_KEY, heavy)
+    normal, _ = skew.split_heavy(events, CASE_KEY, heavy)
+    placed = [*CASE_KEY, "fecha_observacion"]
+    dated = nt.date_columns(nt.clean_cells(nt.canonical_columns(notes, keep=[ordinal]), placed))
+    _, hot = skew.split_heavy(dated, CASE_KEY, heavy)
     result = None
     if normal is not None:
         cases = normal.groupBy(*CASE_KEY).agg(
@@ -145,9 +166,15 @@ def unify_cases(
         one = {c: F.lit(n).cast("long") for c, n in zip(PART_COLUMNS[:3], (0, 1, 0))}
         result = cases.withColumns(one).select(*shape)
     if hot is not None:
-        heads = hot.groupBy(*CASE_KEY).agg(first, *counts)
-        everything_hot = skew.Heavy(None, False)
-        parts = timeline_parts(hot, CASE_KEY, order, "evento", separator, part_bytes, everything_hot)
+        ranked = skew.ordered_chunks(hot.drop("fecha_observacion"), CASE_KEY + order, TEXT_CHUNK_BITS)
+        cleaned = nt.event_text(nt.clean_cells(ranked, [c for c in nt.CLEANED if c not in placed]))
+        chunks = _text_chunks(cleaned, CASE_KEY, "evento", separator, [*order, *DESCRIPTORS])
+        heads = chunks.groupBy(*CASE_KEY).agg(
+            F.min("_first").alias("_first"),
+            F.sum("_rows").alias("total_eventos"),
+            F.sum("_events").alias("eventos_no_vacios"),
+        )
+        parts = _joined_parts(chunks, CASE_KEY, separator, part_bytes)
         few = F.broadcast(heads) if heavy.listed else heads
         giant = parts.join(few, CASE_KEY).select(*shape)
         result = giant if result is None else result.unionByName(giant)

@@ -19,7 +19,7 @@ from caselog.operators import requests as rq
 from caselog.operators import skew
 from caselog.operators import tables as tb
 from caselog.operators import timeline as tl
-from caselog.plans import answer_queries, catalog, flows, registry
+from caselog.plans import answer_queries, case_queries, catalog, flows, registry
 from caselog.plans.inputs import notes, responses
 from caselog.sources import readers, writers
 from caselog.streaming import ingest
@@ -384,6 +384,36 @@ def test_cases_are_gathered_once_for_requests_and_results(spark, folder):
         assert files and not any("events.parquet" in f for f in files)
 
 
+def test_big_cases_come_from_their_chunks_alone(spark, folder, monkeypatch):
+    """Their notes are cleaned once to be put in order; descriptors and counts take no reading of their own."""
+    whole = tl.unify_cases(notes(spark, folder), "ord")
+    expected = rows(whole)
+    for module, name, value in ((skew, "HEAVY_LIST_MAX", 10), (tl, "TASK_EVENTS", 0), (tl, "TEXT_CHUNK_BITS", 3)):
+        monkeypatch.setattr(module, name, value)
+    big = tl.unify_cases(notes(spark, folder), "ord")
+    assert big.columns == whole.columns and rows(big) == expected
+    assert not any("events.parquet" in f for f in big.inputFiles())
+
+
+def test_all_cells_are_cleaned_in_methods_that_java_compiles(spark, folder):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        blanked = notes(spark, folder).withColumn("observacion", F.expr(case_queries.BLANKED))
+        plan = nt.clean_cells(nt.canonical_columns(blanked, keep=["ord"]))._jdf.queryExecution()
+        shown = spark.sparkContext._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_a_cell_loses_one_leading_equals_sign(spark):
+    cells = [None, "", "=", "==a", " \xa0=a= ", "a=b", "=\na", "\n==\t"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string").select(tx.clean_cell(F.col("c")))
+    assert [r[0] for r in df.collect()] == ["", "", "", "=a", "a=", "a=b", "\na", "="]
+
+
 def test_cleaning_of_notes_is_generated_as_methods_that_java_compiles(spark, folder):
     """Java only interprets methods of more than 8,000 bytes."""
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
